@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import table
+from . import language, toxicity
+from .common import crc32_of_id, table
+from .decontamination import decontaminate
 from .packing import pack_documents
 from .token_counts import count_tokens
 
@@ -17,13 +20,65 @@ def op2_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held = crc32_of_id() % 4 == 2
+    trees = language.train(docs, F.crc32(F.col("id").cast("string").cast("binary")) % 4 != 2)
+    return language.identify(docs, trees).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op5_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
+    model = toxicity.train(docs, labels, crc32_of_id() % 5 != 0)
+    return toxicity.score(docs, model).select("doc_id", (crc32_of_id() % 5 == 0).alias("held_out"), "score", "predicted")
+
+
+def op6_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = decontaminate(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda n, h: n + h["last"] - h["first"] + 1)
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 QUERIES: dict[str, Query] = {
     "op2_vector_packing": op2_vector_packing,
+    "op3_ppm_language": op3_ppm_language,
+    "op5_toxicity_trees": op5_toxicity_trees,
+    "op6_benchmark_windows": op6_benchmark_windows,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op6_benchmark_windows": rf"""
+WITH words AS (
+  SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all({_FOLD.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+  SELECT CAST(item_id AS varchar) AS item_id, regexp_extract_all({_FOLD.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i:i + 9], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT k FROM windows),
+grams AS (
+  SELECT rid, k, i, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, sizes WHERE len(w) >= k)),
+found AS (SELECT g.rid, g.k, g.i, x.item_id FROM grams g JOIN windows x ON g.k = x.k AND g.s = x.s),
+hits AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + k)) AS p FROM found) GROUP BY rid),
+seen AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS joined FROM (SELECT DISTINCT rid, item_id FROM found) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(joined, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN hits USING (rid) LEFT JOIN seen USING (rid)""",
+}
