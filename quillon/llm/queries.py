@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import language, toxicity
 from .common import crc32_of_id, table
 from .decontamination import decontaminate
+from .jaccard_join import join_components
 from .packing import pack_documents
 from .token_counts import count_tokens
 
@@ -27,6 +28,10 @@ def op3_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, trees).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_components(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
@@ -55,6 +60,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_vector_packing": op2_vector_packing,
     "op3_ppm_language": op3_ppm_language,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_toxicity_trees": op5_toxicity_trees,
     "op6_benchmark_windows": op6_benchmark_windows,
     "op10_token_counts": op10_token_counts,
