@@ -10,13 +10,19 @@ from pyspark.sql import functions as F
 from . import language, toxicity
 from .common import crc32_of_id, table
 from .decontamination import decontaminate
+from .html_extraction import extract_main_text
 from .jaccard_join import join_components
 from .packing import pack_documents
 from .token_counts import count_tokens
+from .topk_search import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op2_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -53,16 +59,22 @@ def op6_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_topk_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_host_paths": op1_host_paths,
     "op2_vector_packing": op2_vector_packing,
     "op3_ppm_language": op3_ppm_language,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_toxicity_trees": op5_toxicity_trees,
     "op6_benchmark_windows": op6_benchmark_windows,
+    "op8_topk_lists": op8_topk_lists,
     "op10_token_counts": op10_token_counts,
 }
 
@@ -87,4 +99,14 @@ seen AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_
 SELECT doc_id, CAST(len(w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(joined, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM words LEFT JOIN hits USING (rid) LEFT JOIN seen USING (rid)""",
+    "op8_topk_lists": """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS double)) AS bigint)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS bigint) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS integer) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 20""",
 }
