@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, toxicity
+from . import language, language_model, toxicity
 from .common import crc32_of_id, table
 from .decontamination import decontaminate
 from .html_extraction import extract_main_text
@@ -63,6 +63,14 @@ def op8_topk_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0)
 
 
+def op9_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    crc = lambda c: F.crc32(c.cast("string").cast("binary"))
+    scored = language_model.score_texts(docs, lambda c: crc(c) % 10 != 0)
+    held = F.coalesce(crc(F.col("doc_id")) % 10 == 0, F.lit(False))
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -75,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op5_toxicity_trees": op5_toxicity_trees,
     "op6_benchmark_windows": op6_benchmark_windows,
     "op8_topk_lists": op8_topk_lists,
+    "op9_maxent_lm": op9_maxent_lm,
     "op10_token_counts": op10_token_counts,
 }
 

@@ -10,6 +10,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _FOLD = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_POINT = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 #: A random 64-bit value per byte.
 _BYTE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64)
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -32,12 +33,8 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased, of all rows, and each row's word count.
-
-    Null rows have no words.  Equal words have equal hashes; different words
-    differ but for a chance of about 2**-64 a pair.
-    """
+def _word_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes of all rows, the first byte and the end of each word, and each row's word count."""
     rows = len(column)
     if column.null_count:
         column = column.fill_null("")
@@ -45,7 +42,7 @@ def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + rows + 1]
     begin, end = (int(offsets[0]), int(offsets[-1])) if rows else (0, 0)
     if begin == end:
-        return np.zeros(0, np.uint64), np.zeros(rows, np.int64)
+        return np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(rows, np.int64)
     data = _FOLD[np.frombuffer(column.buffers()[2], np.uint8)[begin:end]]
     bounds = offsets - begin
     word = ~_SPACE[data]
@@ -58,12 +55,36 @@ def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     last = bounds[1:][bounds[1:] > 0] - 1
     stop[last] = word[last]
     begins, ends = np.flatnonzero(start), np.flatnonzero(stop) + 1
+    return data, begins, ends, np.diff(np.searchsorted(begins, bounds))
+
+
+def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased, of all rows, and each row's word count.
+
+    Null rows have no words.  Equal words have equal hashes; different words
+    differ but for a chance of about 2**-64 a pair.
+    """
+    data, begins, ends, counts = _word_bytes(column)
+    if not len(begins):
+        return np.zeros(0, np.uint64), counts
     power, inverse = _power(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * power[: len(data)], out=total[1:])
-    hashes = mix((total[ends] - total[begins]) * inverse[begins] + (ends - begins).astype(np.uint64))
-    counts = np.diff(np.searchsorted(begins, bounds))
-    return hashes, counts
+    return mix((total[ends] - total[begins]) * inverse[begins] + (ends - begins).astype(np.uint64)), counts
+
+
+def word_endings(column: pa.Array) -> np.ndarray:
+    """A hash from 0 to 255 of the last letters of each word, punctuation after them left out."""
+    data, begins, ends, _ = _word_bytes(column)
+    last = ends.copy()
+    for _ in range(3):
+        at = last - 1
+        last = np.where((at > begins) & _POINT[data[at]], at, last) if len(at) else last
+    key = np.zeros(len(begins), np.uint64)
+    for back in range(1, 4):
+        at = last - back
+        key = key << _U(8) | np.where(at >= begins, data[np.maximum(at, 0)], 0).astype(np.uint64)
+    return (mix(key, 3) >> _U(56)).astype(np.uint8)
 
 
 def shingles(column: pa.Array, size: int = 5) -> tuple[list[np.ndarray], np.ndarray]:
