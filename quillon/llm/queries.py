@@ -12,6 +12,7 @@ from .common import crc32_of_id, table
 from .decontamination import decontaminate
 from .html_extraction import extract_main_text
 from .jaccard_join import join_components
+from .licenses import TEMPLATES, scan_licenses
 from .packing import pack_documents
 from .token_counts import count_tokens
 from .topk_search import top_k
@@ -59,6 +60,17 @@ def op6_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents", "doc_id", "text"))
+    names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"])))
+    return found.select(
+        "doc_id",
+        F.size("matches").cast("bigint").alias("n_matches"),
+        F.array_join(names, ",").alias("licenses"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["dice"])), F.lit(0.0)).alias("best_dice"),
+    )
+
+
 def op8_topk_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0)
 
@@ -82,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_toxicity_trees": op5_toxicity_trees,
     "op6_benchmark_windows": op6_benchmark_windows,
+    "op7_license_dice": op7_license_dice,
     "op8_topk_lists": op8_topk_lists,
     "op9_maxent_lm": op9_maxent_lm,
     "op10_token_counts": op10_token_counts,
@@ -118,4 +131,19 @@ pairs AS (
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 20 = 0)
 SELECT query_id, CAST(rank AS integer) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 20""",
+    "op7_license_dice": rf"""
+WITH clean AS (
+  SELECT doc_id, row_number() OVER () AS rid, regexp_replace(coalesce(text, ''), '(^|\n)[ \t]*(?:[Cc][Oo][Pp][Yy][Rr][Ii][Gg][Hh][Tt]|\([Cc]\)|©)[^\n]*', '\1', 'g') AS t FROM documents),
+parts AS (
+  SELECT DISTINCT rid, unnest(list_concat(list_concat(regexp_extract_all(t, '(?:[^.!?\n]|[.!?][^ \t\r\n.!?])+[.!?]*'), string_split(t, chr(10))), list_concat(string_split_regex(t, '\n[ \t\r]*\n'), [t]))) AS p FROM clean),
+words AS (SELECT rid, p, regexp_extract_all({_FOLD.format("p")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM parts),
+sized AS (SELECT rid, row_number() OVER () AS pid, w FROM words WHERE len(w) > 1 AND len(w) <= 1000),
+own AS (SELECT pid, b, count(*) AS c FROM (SELECT pid, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM sized) GROUP BY pid, b),
+templates AS (SELECT row_number() OVER () AS tid, name, regexp_extract_all({_FOLD.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM (VALUES {", ".join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in TEMPLATES)}) AS v(name, text)),
+theirs AS (SELECT tid, b, count(*) AS c FROM (SELECT tid, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM templates) GROUP BY tid, b),
+shared AS (SELECT pid, tid, sum(least(o.c, t.c)) AS s FROM own o JOIN theirs t USING (b) GROUP BY pid, tid),
+scored AS (SELECT rid, pid, name, 2 * s / (len(z.w) - 1 + len(t.w) - 1) AS dice FROM shared JOIN sized z USING (pid) JOIN templates t USING (tid)),
+best AS (SELECT rid, name, dice FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY dice DESC, name) AS r FROM scored WHERE dice >= 0.8) WHERE r = 1),
+per AS (SELECT rid, count(*) AS n, max(dice) AS best, string_agg(DISTINCT name, ',' ORDER BY name) AS names FROM best GROUP BY rid)
+SELECT doc_id, coalesce(n, 0) AS n_matches, coalesce(names, '') AS licenses, CAST(coalesce(best, 0) AS double) AS best_dice FROM clean LEFT JOIN per USING (rid)""",
 }
