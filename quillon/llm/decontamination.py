@@ -11,6 +11,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyspark.sql.types as T
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ _LOWER = {upper: upper + 32 for upper in range(65, 91)}
 #: Bytes of benchmark text in one automaton, which every task holds; more text makes more automata, one after the other.
 AUTOMATON_BYTES = 4 << 20
 
-STEP = "id {kind}, text string, n_words bigint, hits array<struct<first:bigint,last:bigint,start:bigint,end:bigint>>, items array<string>"
+SPAN = T.StructType([T.StructField(n, T.LongType()) for n in ("first", "last", "start", "end")])
 
 
 def normalised(text: str) -> str:
@@ -86,7 +87,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col:
     into automata of at most ``AUTOMATON_BYTES`` of text, applied in turn.
     """
     spark = docs.sparkSession
-    kind = docs.schema[id_col].dataType.simpleString()
+    step = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("hits", T.ArrayType(SPAN)), T.StructField("items", T.ArrayType(T.StringType()))])
     rows = docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text", "CAST(NULL AS bigint) AS n_words", "CAST(array() AS array<struct<first:bigint,last:bigint,start:bigint,end:bigint>>) AS hits", "CAST(array() AS array<string>) AS items")
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("k"), F.coalesce(F.col(item_text_col), F.lit("")).alias("t"))
     shards: list[list[tuple[str, str]]] = [[]]
@@ -98,7 +99,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col:
         shards[-1].append((k, t))
         held += len(t)
     for shard in shards:
-        rows = rows.mapInArrow(_scan(spark.sparkContext.broadcast(shard), size), STEP.format(kind=kind))
+        rows = rows.mapInArrow(_scan(spark.sparkContext.broadcast(shard), size), step)
     return rows.withColumnRenamed("id", id_col).drop("text")
 
 
