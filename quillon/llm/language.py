@@ -29,6 +29,8 @@ from . import common
 DEPTH = 4
 #: Texts per language from which the trees are built: a bounded sample, drawn by a hash of the id.
 SAMPLE = 400
+#: Ids drawn by hash range, as a multiple of the sample, before the sample is cut to size.
+SPARE = 2.0
 #: A sampled text longer than this many characters is left out of training, which bounds the trees.
 SAMPLE_CHARS = 50_000
 #: Log-odds between languages are divided by this before they become a probability.
@@ -122,14 +124,20 @@ def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, learn, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, Tree]:
     """Trees per language from the rows where ``learn`` holds and text and lang are set.
 
-    The sample of ids is drawn with a window over ids alone (Spark keeps at most
-    ``sample`` rows per language and task before the shuffle); counts are summed
-    in Spark, and only the bounded trees reach the driver.
+    The sample is drawn over ids alone: the rows per language give a share of
+    the hash range that holds somewhat more than ``sample`` ids, and of these the
+    lowest hashes are taken, so a language of any size reaches its task as a few
+    hundred ids.  Counts are summed in Spark, and only the bounded trees reach
+    the driver.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     ids = rows.where(F.length("text") <= SAMPLE_CHARS).select("id", "lang", F.xxhash64(F.col("id").cast("string")).alias("h"))
+    share = {r.lang: min(1.0, SPARE * sample / r.n) for r in ids.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not share:
+        return {}
+    limit = F.create_map(*(F.lit(v) for item in share.items() for v in item))[F.col("lang")]
     pick = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = ids.withColumn("r", F.row_number().over(pick)).where(F.col("r") <= sample).select("id", "lang").distinct()
+    chosen = ids.where(F.col("h") / F.lit(float(1 << 64)) + 0.5 < limit).withColumn("r", F.row_number().over(pick)).where(F.col("r") <= sample).select("id", "lang").distinct()
     texts = rows.join(chosen, ["id", "lang"], "left_semi").where(F.length("text") <= SAMPLE_CHARS).select("text", "lang")
     sums = texts.mapInArrow(counted, "lang string, k int, key bigint, n bigint").groupBy("lang", "k", "key").agg(F.sum("n").alias("n"))
     found = sums.toArrow()
