@@ -17,7 +17,7 @@ from quillon.llm.jaccard_join import join_components
 from quillon.llm.packing import pack_documents
 
 #: A document is rejected for its language where the language is unknown or less certain than this.
-LANGUAGE_SCORE = 0.5
+LANGUAGE_SCORE = 0.35
 
 
 def _carried(docs: DataFrame) -> DataFrame:
