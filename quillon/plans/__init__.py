@@ -1 +1,7 @@
-"""Search-relevance analytics on Spark."""
+"""Queries over the driver's tables with their SQL."""
+
+from . import relational
+
+_REGISTRIES = (relational.query,)
+QUERIES = {name: query for r in _REGISTRIES for name, query in r.queries.items()}
+ORACLE_SQL = {name: sql for r in _REGISTRIES for name, sql in r.sql.items()}
