@@ -32,8 +32,8 @@ def stratified_folds(rows: DataFrame, label: str, key: str, k: int, seed: str =
 
 def temporal_split(rows: DataFrame, ts: str, share: float = 0.8) -> DataFrame:
     """'train' up to the exact ``share`` quantile of time, 'test' after it."""
-    cut = rows.agg(F.percentile(F.unix_micros(ts), share).alias("cut")).first().cut
-    return rows.withColumn("part", F.when(F.unix_micros(ts) <= (cut if cut is not None else 0), "train").otherwise("test"))
+    cut = rows.agg(F.percentile(F.unix_micros(F.col(ts).cast("timestamp")), share).alias("cut")).first().cut
+    return rows.withColumn("part", F.when(F.unix_micros(F.col(ts).cast("timestamp")) <= (cut if cut is not None else 0), "train").otherwise("test"))
 
 
 def leaking_groups(rows: DataFrame, group: str, fold: str = "fold") -> DataFrame:
