@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from .retrieval import unigrams_bigrams
 
 
+#: Rows of a partition while models train.
+PARTITION_ROWS = 50_000
+
+
 def balanced_weights(rows: DataFrame, label: str = "label") -> DataFrame:
     """Adds ``weight``: the inverse of the class's share."""
     counts = {r[0]: r.n for r in rows.groupBy(label).agg(F.count("*").alias("n")).collect()}
@@ -28,8 +32,8 @@ def balanced_weights(rows: DataFrame, label: str = "label") -> DataFrame:
     return rows.withColumn("weight", chain.otherwise(1.0))
 
 
-def tabular_pipeline(columns: list[str], label: str = "label", seed: int = 7) -> Pipeline:
-    return Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="keep"), GBTClassifier(labelCol=label, maxIter=20, maxDepth=4, stepSize=0.1, seed=seed)])
+def tabular_pipeline(columns: list[str], label: str = "label", iterations: int = 10, seed: int = 7) -> Pipeline:
+    return Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="keep"), GBTClassifier(labelCol=label, maxIter=iterations, maxDepth=4, stepSize=0.1, seed=seed)])
 
 
 def text_pipeline(terms: str = "terms", label: str = "label") -> Pipeline:
@@ -39,8 +43,11 @@ def text_pipeline(terms: str = "terms", label: str = "label") -> Pipeline:
 def out_of_fold(rows: DataFrame, pipeline: Pipeline, folds: int, key: str = "id", label: str = "label", model: str = "model") -> DataFrame:
     """(key, label, fold, proba, model_name): each fold scored by a model of the other folds.
 
-    A fold whose training rows hold one class gets that class's share.
+    A fold whose training rows hold one class gets that class's share.  The rows
+    are kept while the models train, in partitions of about ``PARTITION_ROWS``.
     """
+    rows = rows.persist()
+    rows = rows.coalesce(max(1, rows.count() // PARTITION_ROWS))
     parts = []
     for fold in range(folds):
         train, test = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)

@@ -180,8 +180,8 @@ def gbt_oof(spark, d):
     """Out-of-fold boosted trees: every row is scored once, in its own fold."""
     from quillon.operators.models import out_of_fold, tabular_pipeline
 
-    rows = G.stratified_folds(view(spark, d, "scored").drop("fold"), "label", "id", 3)
-    oof = out_of_fold(rows, tabular_pipeline(["proba", "proba_b", "n_chars"]), 3, model="gbt")
+    rows = G.stratified_folds(view(spark, d, "scored").drop("fold"), "label", "id", 2)
+    oof = out_of_fold(rows, tabular_pipeline(["proba", "proba_b", "n_chars"], iterations=4), 2, model="gbt")
     return oof.groupBy("fold", "model_name").agg(F.count("*").alias("n"), F.count_if(F.col("proba").between(0, 1)).alias("in_range"))
 
 
