@@ -15,6 +15,9 @@ GROUP_BYTES = 2 << 20
 #: Entries that a worker's memo keeps before it starts afresh.
 MEMO_ENTRIES = 400_000
 
+#: Spark's switch for removing a query's shuffle files once it has run.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _serial = count()
 
 
@@ -43,10 +46,19 @@ def _stamp() -> str:
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, which cuts its lineage."""
+    """Write ``df`` to the shared folder and read it back, which cuts its lineage.
+
+    The shuffle files of the write are removed when it ends, as nothing reads
+    them again; else they would stay until the driver collects its garbage.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, what)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,10 +6,12 @@ a linked partner must share one of; a counting sketch of fixed size ranks
 n-grams from rare to common, so common passages stay out of the prefixes.  The
 product within a block gives lists of documents that share a column.
 
-Each list first yields a star around its smallest id.  Exact overlaps of these
-pairs link most of a group of copies.  A list that is not yet one component
-then has its members of different components compared: pairs whose bit maps and
-sizes prove too small an overlap are discarded, the rest are verified.  Copies
+Each list first yields a star around its smallest id.  Pairs whose bit maps and
+sizes prove too small an overlap are discarded.  Exact overlaps of each
+document with the smallest of its stars' ids link most of a group of copies;
+its other stars count only where they lie in another component by then.  A list
+that is not yet one component has its members of different components compared
+in the same way: discarded by bit map and size, else verified.  Copies
 are thus linked without emitting the pairs of a group, and no link between
 components is lost.
 """
@@ -34,8 +36,8 @@ _SEGMENTS = 256
 BLOCK_ENTRIES = 60_000
 #: Members of a list's smaller components that are compared with the whole list in one round.
 LEADERS = 4096
-#: Bits of a document's map.
-MAP_BITS = 1024
+#: Bits of a document's short map, and of its whole map at most.
+MAP_BITS, MOST_BITS = 1024, 1 << 22
 #: Partners of one document that a task verifies.
 PARTNERS = 512
 FLUSH = 1 << 21
@@ -207,12 +209,43 @@ def _products(percent: int):
     return products
 
 
+def parities(ngrams: np.ndarray) -> np.ndarray:
+    """A map of twice as many bits as n-grams or more: whether an even or odd number of n-grams falls on each bit."""
+    bits = max(MAP_BITS, min(MOST_BITS, 1 << (2 * len(ngrams)).bit_length()))
+    at = (ngrams & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).view(np.uint64)
+
+
 def _mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds to (id, text) the set size and the parity map of the set."""
     for group in common.text_groups(batches):
         sets, _ = shingles(group.column("text"))
-        maps = [np.packbits(np.bincount((x & np.uint64(MAP_BITS - 1)).astype(np.int64), minlength=MAP_BITS) & 1).tobytes() for x in sets]
-        yield pa.RecordBatch.from_arrays([group.column("id"), group.column("text"), pa.array([len(x) for x in sets], pa.int64()), pa.array(maps, pa.binary())], names=["id", "text", "n", "bits"])
+        whole = [parities(x) for x in sets]
+        maps = [np.bitwise_xor.reduce(m.reshape(-1, MAP_BITS // 64)).tobytes() for m in whole]
+        yield pa.RecordBatch.from_arrays(
+            [group.column("id"), group.column("text"), pa.array([len(x) for x in sets], pa.int64()), pa.array(maps, pa.binary()), pa.array([m.tobytes() for m in whole], pa.binary())],
+            names=["id", "text", "n", "bits", "map"],
+        )
+
+
+def _pruned(percent: int):
+    """Of pairs with sizes and whole maps: those whose overlap may be large enough."""
+
+    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n_a, n_b, map_a, map_b in zip(*(batch.column(c) for c in ("n_a", "n_b", "map_a", "map_b")), strict=True):
+                x, y = (np.frombuffer(m.as_buffer(), np.uint64) for m in (map_a, map_b))
+                short = min(len(x), len(y))
+                # a longer map folds to a shorter one, as both hold parities
+                apart = int(np.bitwise_count(np.bitwise_xor.reduce(x.reshape(-1, short)) ^ np.bitwise_xor.reduce(y.reshape(-1, short))).sum())
+                size = n_a.as_py() + n_b.as_py()
+                shared = (size - apart) // 2
+                keep.append(100 * shared >= percent * (size - shared))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("a", "b")], names=["a", "b"])
+
+    return prune
 
 
 def _verified(percent: int):
@@ -324,10 +357,22 @@ def join_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     members = common.written(known(found.where("list IS NOT NULL").select("list", F.col("a").alias("id")).distinct(), "id").distinct(), "lists")
 
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(members.select("id")).distinct()
-    texts = common.written(rows.join(wanted, "id", "left_semi").mapInArrow(_mapped, "id bigint, text string, n bigint, bits binary"), "texts")
-    edges = common.written(links(pairs, texts, percent), "links")
-
-    leaders, tested = LEADERS, pairs
+    texts = common.written(rows.join(wanted, "id", "left_semi").mapInArrow(_mapped, "id bigint, text string, n bigint, bits binary, map binary"), "texts")
+    maps = texts.groupBy("id").agg(F.first("n").alias("n"), F.first("map").alias("map"), F.count("*").alias("rows"))
+
+    def likely(df: DataFrame) -> DataFrame:
+        """The pairs that maps and sizes leave; an id with several texts is never discarded."""
+        side = lambda x: maps.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("map").alias(f"map_{x}"), F.col("rows").alias(f"rows_{x}"))
+        both = df.join(side("a"), "a").join(side("b"), "b")
+        alone = both.where("rows_a = 1 AND rows_b = 1").select("a", "b", "n_a", "n_b", "map_a", "map_b").mapInArrow(_pruned(percent), "a bigint, b bigint")
+        return common.written(alone.union(both.where("rows_a > 1 OR rows_b > 1").select("a", "b")), "likely-pairs")
+
+    pairs = likely(pairs)
+    nearest = common.written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "nearest-pairs")
+    edges = common.written(links(nearest, texts, percent), "links")
+
+    leaders, tested = LEADERS, nearest
+    waiting: DataFrame | None = pairs.join(nearest, ["a", "b"], "left_anti")
     comp = common.written(components(edges), "components")
     while True:
         marked = members.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -336,7 +381,13 @@ def join_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
         rest = marked.join(split, "list", "left_semi").join(weight, "component", "left").withColumn("weight", F.coalesce("weight", F.lit(1).cast("bigint")))
         rest = common.written(rest.join(texts.select("id", "n", "bits"), "id").select("list", "weight", "component", "id", "n", "bits"), "split-lists")
         crossed = rest.repartition(parts, "list").sortWithinPartitions("list", "weight", "component", "id").mapInArrow(_crossed(percent, leaders), "a bigint, b bigint")
+        if waiting is not None:
+            # stars that the nearest ones have not brought into one component
+            of = lambda x: comp.select(F.col("id").alias(x), F.col("component").alias(f"of_{x}"))
+            apart = waiting.join(of("a"), "a", "left").join(of("b"), "b", "left").where("coalesce(of_a, a) <> coalesce(of_b, b)")
+            crossed, waiting = crossed.union(apart.select("a", "b")), None
         more = common.written(crossed.distinct().join(tested, ["a", "b"], "left_anti"), "crossed")
+        more = likely(more)
         if not more.isEmpty():
             edges = edges.union(common.written(links(more, texts, percent), "links"))
             tested = tested.union(more)
