@@ -42,7 +42,7 @@ def threshold_curve(rows: DataFrame, by: list[str] | None = None, proba: str = "
     reached = F.size(F.filter(F.array(*map(F.lit, GRID)), lambda t: t <= F.col(proba)))
     bins = rows.groupBy(*by, reached.alias("bin")).agg(F.sum(F.col(label).cast("bigint")).alias("p"), F.count("*").alias("n"))
     grid = F.explode(F.array(*(F.struct(F.lit(i + 1).alias("bin"), F.lit(t).alias("threshold")) for i, t in enumerate(GRID))))
-    totals = bins.groupBy(*by).agg(F.sum("p").alias("all_p"), F.sum("n").alias("all_n"))
+    totals = bins.groupBy(*by).agg(F.coalesce(F.sum("p"), F.lit(0)).alias("all_p"), F.coalesce(F.sum("n"), F.lit(0)).alias("all_n"))
     full = totals.withColumn("g", grid).select(*by, "all_p", "all_n", "g.bin", "g.threshold").join(bins, [*by, "bin"], "left")
     above = Window.partitionBy(*by).orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
     tp, hits = F.coalesce(F.sum("p").over(above), F.lit(0)), F.coalesce(F.sum("n").over(above), F.lit(0))
