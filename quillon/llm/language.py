@@ -138,7 +138,8 @@ def train(docs: DataFrame, learn, sample: int = SAMPLE, id_col: str = "doc_id",
     limit = F.create_map(*(F.lit(v) for item in share.items() for v in item))[F.col("lang")]
     pick = Window.partitionBy("lang").orderBy("h", "id")
     chosen = ids.where(F.col("h") / F.lit(float(1 << 64)) + 0.5 < limit).withColumn("r", F.row_number().over(pick)).where(F.col("r") <= sample).select("id", "lang").distinct()
-    texts = rows.join(chosen, ["id", "lang"], "left_semi").where(F.length("text") <= SAMPLE_CHARS).select("text", "lang")
+    # at most ``sample`` ids per language
+    texts = rows.join(F.broadcast(chosen), ["id", "lang"], "left_semi").where(F.length("text") <= SAMPLE_CHARS).select("text", "lang")
     sums = texts.mapInArrow(counted, "lang string, k int, key bigint, n bigint").groupBy("lang", "k", "key").agg(F.sum("n").alias("n"))
     found = sums.toArrow()
     langs = np.asarray(found.column("lang").to_pylist(), object)
