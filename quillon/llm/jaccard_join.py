@@ -41,6 +41,8 @@ MAP_BITS, MOST_BITS = 1024, 1 << 22
 #: Partners of one document that a task verifies.
 PARTNERS = 512
 FLUSH = 1 << 21
+#: Ids that are broadcast at most (8 MB) to pick their rows out of a table; more of them are joined by a shuffle.
+BROADCAST_IDS = 1 << 20
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,6 +280,12 @@ def _verified(percent: int):
     return verify
 
 
+def _having(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id is among the distinct ``ids``, without moving the rows while the ids are few."""
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+
+
 def links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets overlap enough.
 
@@ -287,7 +295,8 @@ def links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     many = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).alias("tasks"))
     dealt = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("tasks")).alias("salt"))
     wanted = dealt.select(F.col("b").alias("id"), "a", "salt", F.lit(1).alias("role")).union(dealt.select(F.col("a").alias("id"), "a", "salt", F.lit(0).alias("role")).distinct())
-    rows = wanted.join(texts.select("id", "text"), "id").select("a", "salt", "role", "id", "text")
+    own = _having(texts.select("id", "text"), pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    rows = wanted.join(own, "id").select("a", "salt", "role", "id", "text")
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", "role").mapInArrow(_verified(percent), "a bigint, b bigint").distinct()
 
@@ -357,7 +366,7 @@ def join_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     members = common.written(known(found.where("list IS NOT NULL").select("list", F.col("a").alias("id")).distinct(), "id").distinct(), "lists")
 
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(members.select("id")).distinct()
-    texts = common.written(rows.join(wanted, "id", "left_semi").mapInArrow(_mapped, "id bigint, text string, n bigint, bits binary, map binary"), "texts")
+    texts = common.written(_having(rows, wanted).mapInArrow(_mapped, "id bigint, text string, n bigint, bits binary, map binary"), "texts")
     maps = texts.groupBy("id").agg(F.first("n").alias("n"), F.first("map").alias("map"), F.count("*").alias("rows"))
 
     def likely(df: DataFrame) -> DataFrame:
@@ -400,4 +409,4 @@ def join_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
         leaders *= 16
     by = signed.join(first, ["s1", "s2", "n"], "left").withColumn("id2", F.coalesce("rep", "id"))
     out = by.join(comp.select(F.col("id").alias("id2"), "component"), "id2", "left")
-    return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id2").alias("component_id"))
+    return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id2")).alias("component_id"))
