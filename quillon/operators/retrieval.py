@@ -59,8 +59,8 @@ def bm25_search(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, que
 def unigrams_bigrams(c: Column) -> Column:
     """Tokens of two word characters or more in lower case, then their bigrams."""
     t = F.regexp_extract_all(F.lower(text_or_empty(c)), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
-    pairs = F.when(F.size(t) > 1, F.transform(F.sequence(F.lit(0), F.greatest(F.size(t) - 2, F.lit(0))), lambda i: F.concat_ws(" ", F.get(t, i), F.get(t, i + 1))))
-    return F.concat(t, F.coalesce(pairs, F.array().cast("array<string>")))
+    n = F.greatest(F.size(t) - 1, F.lit(0))
+    return F.concat(t, F.zip_with(F.slice(t, F.lit(1), n), F.slice(t, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b)))
 
 
 def tfidf_cosine(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query: str) -> DataFrame:
