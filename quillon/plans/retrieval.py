@@ -66,6 +66,22 @@ def dense_excluding_self(spark, d):
     return R.dense_search(v, v.where("vec_id % 25 = 0"), K, "vec_id", "vec_id", "embedding", skip_same_id=True)
 
 
+#: The pairs of the stated query set, every twentieth vector; the two queries above and their SQL take every 25th.
+_STATED = _VECTORS.replace("q.vec_id % 25 = 0", "q.vec_id % 20 = 0")
+
+
+@query(_STATED + f" SELECT query, item, score, CAST(rank AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, item) AS rank FROM p) WHERE rank <= {K}")
+def dense_topk_full(spark, d):
+    v = view(spark, d, "vectors")
+    return R.dense_search(v, v.where("vec_id % 20 = 0"), K, "vec_id", "vec_id", "embedding")
+
+
+@query(_STATED + f" SELECT query, item, score, CAST(rank AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, item) AS rank FROM p WHERE query <> item) WHERE rank <= {K}")
+def dense_excluding_self_full(spark, d):
+    v = view(spark, d, "vectors")
+    return R.dense_search(v, v.where("vec_id % 20 = 0"), K, "vec_id", "vec_id", "embedding", skip_same_id=True)
+
+
 _PSEUDO_DENSE = f"""dn AS (SELECT question_id, doc_id, dense_score, CAST(row_number() OVER (PARTITION BY question_id ORDER BY dense_score DESC, doc_id) AS int) AS rank FROM
   (SELECT question_id, doc_id, CAST((question_id * 7919 + doc_id * 104729) % 1000 AS double) / 1000 AS dense_score FROM questions JOIN docs ON doc_id % 10 = question_id % 10)),
 b AS (SELECT * FROM bm WHERE rank <= {K}), dd AS (SELECT * FROM dn WHERE rank <= {K})"""
@@ -137,6 +153,13 @@ def tfidf_cosine_topk(spark, d):
     return R.top_k(c, "question_id", [F.desc("cosine"), F.asc("doc_id")], 5)
 
 
+@query()
+def tfidf_cosine_full(spark, d):
+    """Like ``tfidf_cosine_topk``, fitted on and searching all documents."""
+    c = R.tfidf_cosine(view(spark, d, "docs"), view(spark, d, "questions"), "doc_id", "text", "question_id", "question").withColumn("cosine", F.round("cosine", 6))
+    return R.top_k(c, "question_id", [F.desc("cosine"), F.asc("doc_id")], 5)
+
+
 @query(cte("items", "terms") + """, q AS (SELECT term_id, concat('Brand#', term_id % 25 + 1) AS brand FROM terms), r AS (SELECT brand, item_id, row_number() OVER (PARTITION BY brand ORDER BY item_id) AS place FROM items)
 SELECT term_id, item_id, brand, CAST(place AS int) AS rank, CAST(1 AS double) AS score FROM q JOIN r USING (brand) WHERE place <= 5""")
 def brand_pool(spark, d):
@@ -185,9 +208,9 @@ def centroid_similarity(spark, d):
 
 @query()
 def svd_dense(spark, d):
-    """Latent vectors of short documents: how many, and whether all are unit vectors."""
+    """Latent vectors of all documents: how many, and whether all are unit vectors."""
     from quillon.operators.models import latent_vectors
 
-    rows = latent_vectors(view(spark, d, "docs").where("n_chars < 600"), "doc_id", "text", 16, 1024)
+    rows = latent_vectors(view(spark, d, "docs"), "doc_id", "text", 16, 1024)
     norm = F.aggregate(F.col("embedding"), F.lit(0.0), lambda s, x: s + x * x)
     return rows.agg(F.count("*").alias("n"), F.count_if(F.abs(norm - 1) < 1e-6).alias("unit"), F.count_if(norm == 0).alias("empty"))
