@@ -88,7 +88,7 @@ b AS (SELECT * FROM bm WHERE rank <= {K}), dd AS (SELECT * FROM dn WHERE rank <=
 
 
 def _hits(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """BM25 hits, and hits of a stand-in for a dense retriever whose scores SQL can repeat."""
+    """BM25 hits, and hits of a stand-in for a dense retriever whose scores SQL can repeat; ``_latent_hits`` has the real one."""
     bm = _bm25(spark, d).withColumnRenamed("bm25", "score")
     q = view(spark, d, "questions").select("question_id", (F.col("question_id") % 10).alias("m"))
     docs = view(spark, d, "docs").select("doc_id", (F.col("doc_id") % 10).alias("m"))
@@ -129,6 +129,33 @@ def retrieval_eval_overlap(spark, d):
     return R.evaluate_retrieval(*_hits(spark, d), items, queries, "question_id", "doc_id")
 
 
+def _latent_hits(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """BM25 hits, and dense hits of all documents in one latent space; SQL cannot repeat its decomposition."""
+    dense = R.latent_search(view(spark, d, "docs"), view(spark, d, "questions"), "doc_id", "text", "question_id", "question", K)
+    return _bm25(spark, d).select("question_id", "doc_id", F.col("bm25").alias("score"), "rank").persist(), dense.persist()
+
+
+@query()
+def hybrid_search_latent(spark, d):
+    """Hybrid search with dense hits from text vectors."""
+    return R.hybrid(*_latent_hits(spark, d), "question_id", "doc_id", K)
+
+
+@query()
+def rrf_fusion_latent(spark, d):
+    """Rank fusion of BM25 and dense hits from text vectors."""
+    return R.reciprocal_rank_fusion(list(_latent_hits(spark, d)), "question_id", "doc_id", K)
+
+
+@query()
+def retrieval_eval_overlap_latent(spark, d):
+    """Overlap of BM25 and dense hits from text vectors; a question's category is the language of its best BM25 document."""
+    bm, dense = _latent_hits(spark, d)
+    items = view(spark, d, "docs").select("doc_id", F.col("lang").alias("category"))
+    queries = bm.where("rank = 1").join(items, "doc_id").select("question_id", "category")
+    return R.evaluate_retrieval(bm, dense, items, queries, "question_id", "doc_id")
+
+
 _TFIDF_TERMS = r"regexp_extract_all(lower(coalesce({0}, '')), '[\p{{L}}\p{{N}}_]{{2,}}')"
 
 

@@ -5,8 +5,10 @@ import os
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
+from quillon.operators.retrieval import latent_search
 from quillon.plans import QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -51,3 +53,27 @@ def test_latent_vectors_and_dense_queries_take_all_rows(spark):
     stated = {r.vec_id for r in vectors.where("vec_id % 20 = 0").collect()}
     for name in ("dense_topk_full", "dense_excluding_self_full"):
         assert {r.query for r in QUERIES[name](spark, DATA).collect()} == stated
+
+
+def test_dense_hits_come_from_texts(spark, texts):
+    """Cosines in the latent space of all terms equal those of numpy's decomposition of the same tf-idf matrix."""
+    folder, docs, questions = texts
+    rows = [(("d", i), grams(t)) for i, t, _ in docs] + [(("q", i), grams(t)) for i, t in questions]
+    terms = sorted({g for _, c in rows for g in c})
+    tf = np.array([[c[g] for g in terms] for _, c in rows], float)
+    x = tf * (np.log((len(rows) + 1) / ((tf > 0).sum(axis=0) + 1)) + 1)
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    y = x @ np.linalg.svd(x, full_matrices=False)[2][:3].T
+    y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-12)
+    at = {k: y[n] for n, (k, _) in enumerate(rows)}
+    views = [spark.createDataFrame([(i, t) for i, t, *_ in part], "id bigint, text string") for part in (docs, questions)]
+    found = latent_search(views[0].withColumnRenamed("id", "doc_id"), views[1].toDF("question_id", "question"), "doc_id", "text", "question_id", "question", 4, 3).collect()
+    expected = {q: sorted(((-round(float(at["q", q] @ at["d", i]), 4), i) for i, t, _ in docs if t))[:4] for q, _ in questions}
+    scores = {(r.question_id, r["rank"]): r.score for r in found}
+    assert scores == {(q, n + 1): pytest.approx(-s, abs=2e-4) for q, e in expected.items() for n, (s, _) in enumerate(e)}
+    # document 2, of another last digit than question 0, was no candidate of the hashed stand-in
+    out = QUERIES["hybrid_search_latent"](spark, folder).collect()
+    best = {r.question_id: r for r in out if r["rank"] == 1}
+    assert best[0].doc_id == 2 and best[0].dense_rank > 0
+    assert QUERIES["rrf_fusion_latent"](spark, folder).where("question_id = 0 AND rank = 1").first().doc_id == 2
+    assert QUERIES["retrieval_eval_overlap_latent"](spark, folder).where("question_id = 1").first().overlap > 0
