@@ -1,11 +1,12 @@
 """Licence scans: parts of a text against licence templates by Dice coefficient.
 
-A text's parts are its sentences, lines, paragraphs and the text itself.  Words
-are lower-cased, copyright lines are left out, and a part matches a template if
-their word bigrams, as multisets, have a Dice coefficient of ``threshold`` or
-more.  A coefficient t bounds the sizes: of a part with n bigrams only templates
-with n * t / (2 - t) to n * (2 - t) / t bigrams can match, and only these are
-compared.
+A text's parts are its sentences, lines, paragraphs and the text itself, and runs
+of consecutive paragraphs, for notices of several paragraphs inside a longer text;
+of overlapping runs the best counts, if no part of it matches as well.  Words are
+lower-cased, copyright lines are left out, and a part matches a template if their
+word bigrams, as multisets, have a Dice coefficient of ``threshold`` or more.  A
+coefficient t bounds the sizes: of a part with n bigrams only templates with
+n * t / (2 - t) to n * (2 - t) / t bigrams can match, and only these are compared.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import pyspark.sql.types as T
@@ -100,14 +102,13 @@ class Scanner:
         self.templates = sorted((t for t in made if t[0]), key=lambda t: t[:2])
         self.sizes, self.threshold = [t[0] for t in self.templates], threshold
         self.low, self.high = threshold / (2 - threshold), (2 - threshold) / threshold
-        # a word takes at least two characters with its space, so most long and short parts need no words
         self.most = int(self.sizes[-1] * self.high + 1) if self.templates else 0
+        self.known = {b for _, _, own in self.templates for b in own}
         self.memo: dict[str, tuple[str, float] | None] = {}
 
     def best(self, part: str) -> tuple[str, float] | None:
         """The template name of the highest coefficient, the first in the alphabet of equal ones; None below the threshold."""
-        spaces = part.count(" ")
-        if not spaces or not self.templates:
+        if not self.templates:
             return None
         if (known := self.memo.get(part, part)) is not part:
             return known
@@ -128,6 +129,44 @@ class Scanner:
             self.memo[part] = result
         return result
 
+    def runs(self, text: str) -> list[tuple[str, float, str]]:
+        """(license, dice, run) of the best runs of two or more consecutive paragraphs, but not of the whole text.
+
+        A run of n bigrams needs n * low bigrams of a template of its own size
+        or so; runs with fewer bigrams of any template are not compared.
+        """
+        clean = _COPYRIGHT.sub(r"\1", text)
+        spans, at = [], 0
+        for m in _PARAGRAPH.finditer(clean):
+            spans.append((at, m.start()))
+            at = m.end()
+        spans.append((at, len(clean)))
+        if not self.templates or len(spans) < 3:
+            return []
+        split = [normalised(clean[a:b]).split() for a, b in spans]
+        filled = [k for k, w in enumerate(split) if w]
+        words = [w for s in split for w in s]
+        hits = [0, *accumulate(b in self.known for b in zip(words, words[1:]))]
+        need, ends = self.threshold * (1 + self.low) / 2 - 1e-9, list(accumulate(len(split[k]) for k in filled))
+        if hits[-1] < need * self.sizes[0] * self.low:
+            return []
+        found = []
+        for i in range(len(filled)):
+            first = ends[i] - len(split[filled[i]])
+            for j in range(i + 1, len(filled)):
+                n = ends[j] - first - 1
+                if n > self.most:
+                    break
+                if (i or j < len(filled) - 1) and hits[ends[j] - 1] - hits[first] >= need * n:
+                    run = clean[spans[filled[i]][0] : spans[filled[j]][1]]
+                    if m := self.best(run):
+                        found.append((-m[1], m[0], i, j, run))
+        chosen: list[tuple] = []
+        for dice, name, i, j, run in sorted(found):
+            if all(j < c[2] or i > c[3] for c in chosen) and not any((m := self.best(p)) and m[1] >= -dice for p in parts_of(run) if p != run):
+                chosen.append((dice, name, i, j, run))
+        return [(name, -dice, run) for dice, name, _, _, run in chosen]
+
 
 def scan_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row its id and ``matches``: array of (license, dice, part), best first.
@@ -147,6 +186,8 @@ def scan_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
             rows = []
             for text in group.column("text").to_pylist():
                 found = [(m[0], m[1], p) for p in parts_of(text or "") if (m := scanner.best(p))]
+                seen = {p for _, _, p in found}
+                found += [m for m in scanner.runs(text or "") if m[2] not in seen]
                 found.sort(key=lambda m: (-m[1], m[0], m[2]))
                 rows.append([{"license": a, "dice": b, "part": c} for a, b, c in found])
             yield pa.RecordBatch.from_arrays([group.column("id"), pa.array(rows, match_type)], names=[id_col, "matches"])
