@@ -8,6 +8,7 @@ dense features, and an isotonic map from the trees' output to a probability.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,6 +42,8 @@ INSULTS = frozenset(
 #: Words that address the reader.
 SECOND_PERSON = frozenset("you your yours yourself youre ur u tu te ti tus tuyo usted ustedes vosotros du dich dir dein deine ihr euch toi ton ta tes vous votre vos".split())
 _WORD = re.compile(r"[^\W_]+")
+#: All upper-case letters.
+_CAPITAL = re.compile("[" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isupper()) + "]")
 _DISGUISED = re.compile(r"[^\W\d_]+(?:[0-9@$!*|.\-_+]+[^\W\d_]+)+|[^\W\d_]+[0-9@$!*]+[^\W_]+|[0-9@$]+[^\W\d_]{2,}")
 _PLAIN = str.maketrans("013457@$!|", "oieastasil", "*.-_+")
 
@@ -92,7 +95,7 @@ class Lexicon:
         unmasked = sum(self.weight(h.lower().translate(_PLAIN)) > 0 for h in hidden)
         letters = sum(map(len, words))
         shouted = sum(w.isupper() and len(w) > 1 for w in words)
-        capitals = sum(1 for c in text if c.isupper()) if chars < 2000 else len(re.findall(r"[A-ZÀ-ÖØ-Þ]", text))
+        capitals = len(_CAPITAL.findall(text))
         return [
             float(np.log1p(n)), insults / n, float(np.log1p(insults)), len(marked) / n, float(np.log1p(len(marked))), max(strong, default=0.0), sum(strong) / n,
             len(spoken) / n, near / n, capitals / letters, shouted / n, (chars - letters - text.count(" ") - text.count("\n")) / chars,
