@@ -85,7 +85,9 @@ def latent_vectors(texts: DataFrame, key: str, text: str, dims: int = 32, vocabu
     scaled = ElementwiseProduct(scalingVec=idf, inputCol="tf", outputCol="scaled").transform(tf)
     tfidf = Normalizer(inputCol="scaled", outputCol="tfidf").transform(scaled).select(key, "tfidf").persist()
     rows = RowMatrix(tfidf.select("tfidf").rdd.map(lambda r: Vectors.fromML(r.tfidf)))
-    v = rows.computeSVD(min(dims, len(terms)), computeU=False).V.toArray()
+    # the right singular vectors are the eigenvectors of the Gram matrix, without those of no weight
+    values, vectors = np.linalg.eigh(rows.computeGramianMatrix().toArray())
+    v = vectors[:, ::-1][:, :dims][:, values[::-1][:dims] > 1e-9 * max(values[-1], 1e-300)]
     weights = spark.sparkContext.broadcast(v)
 
     @F.pandas_udf("array<double>")
