@@ -73,8 +73,8 @@ def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return mix((total[ends] - total[begins]) * inverse[begins] + (ends - begins).astype(np.uint64)), counts
 
 
-def word_endings(column: pa.Array) -> np.ndarray:
-    """A hash from 0 to 255 of the last letters of each word, punctuation after them left out."""
+def word_endings(column: pa.Array, kinds: int) -> np.ndarray:
+    """A hash below ``kinds``, a power of two, of the last letters of each word, punctuation after them left out."""
     data, begins, ends, _ = _word_bytes(column)
     last = ends.copy()
     for _ in range(3):
@@ -84,7 +84,7 @@ def word_endings(column: pa.Array) -> np.ndarray:
     for back in range(1, 4):
         at = last - back
         key = key << _U(8) | np.where(at >= begins, data[np.maximum(at, 0)], 0).astype(np.uint64)
-    return (mix(key, 3) >> _U(56)).astype(np.uint8)
+    return (mix(key, 3) >> _U(65 - kinds.bit_length())).astype(np.uint16)
 
 
 def shingles(column: pa.Array, size: int = 5) -> tuple[list[np.ndarray], np.ndarray]:

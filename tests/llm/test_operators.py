@@ -225,8 +225,8 @@ def test_language_model_counts_match_brute_force(spark, odd, empty):
 
 def test_language_model_is_a_distribution():
     rng = np.random.default_rng(0)
-    w, b = rng.normal(size=(4, language_model.BUCKETS, language_model.CLASSES)).astype(np.float32), np.zeros(language_model.CLASSES, np.float32)
-    features = [rng.integers(0, language_model.BUCKETS, 50) for _ in range(4)]
+    w, b = rng.normal(size=(4, language_model.LEAST_BUCKETS, language_model.CLASSES)).astype(np.float32), np.zeros(language_model.CLASSES, np.float32)
+    features = [rng.integers(0, language_model.LEAST_BUCKETS, 50) for _ in range(4)]
     p = language_model.probabilities(w, b, features)
     assert np.allclose(p.sum(axis=1), 1, atol=1e-5)
     y = rng.integers(0, language_model.CLASSES, 50)
