@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from itertools import count
 
 import pyarrow as pa
@@ -15,6 +17,9 @@ GROUP_BYTES = 2 << 20
 #: Entries that a worker's memo keeps before it starts afresh.
 MEMO_ENTRIES = 400_000
 
+#: Bytes of an Arrow batch where rows are large, so that a worker holds few of them at one time.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: Spark's switch for removing a query's shuffle files once it has run.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -29,20 +34,30 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 def scratch_path(spark: SparkSession, what: str) -> str:
     """A fresh folder under the shared folder that ``spark.checkpoint.dir`` names.
 
-    Where the setting is absent (a test on one machine) it is set to a folder
-    of this application below /tmp.
+    Where the setting is absent, a session on one machine takes a folder below
+    /tmp; on a cluster executors could not read each other's, so it raises.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"/tmp/quillon-{spark.sparkContext.applicationId}"
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}-{id(spark)}-{what}-{next(_serial)}-{_stamp()}"
-
+    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}-{id(spark)}-{what}-{next(_serial)}-{uuid.uuid4().hex[:12]}"
 
-def _stamp() -> str:
-    import uuid
 
-    return uuid.uuid4().hex[:12]
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the queries that run meanwhile."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
@@ -51,17 +66,40 @@ def written(df: DataFrame, what: str) -> DataFrame:
     The shuffle files of the write are removed when it ends, as nothing reads
     them again; else they would stay until the driver collects its garbage.
     """
+    return _saved(df, scratch_path(df.sparkSession, what))
+
+
+def _saved(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
-    path = scratch_path(spark, what)
-    before = spark.conf.get(CLEANUP)
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with setting(spark, CLEANUP, "true"):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables that a computation writes for itself, and that end with it.
+
+    The result must be written by :func:`written` before the block ends, since
+    the tables that it is made of are deleted there.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def written(self, df: DataFrame, what: str) -> DataFrame:
+        self.paths.append(scratch_path(self.spark, what))
+        return _saved(df, self.paths[-1])
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def crc32_of_id(column: str = "doc_id"):
     """crc32 of an id's decimal text; null where the id is null."""
     return F.crc32(F.col(column).cast("string").cast("binary"))
@@ -87,7 +125,3 @@ def text_groups(batches: Iterable[pa.RecordBatch], limit: int = GROUP_BYTES, tex
                 start, held = row, 0
             held += n
         yield batch.slice(start)
-
-
-def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(function, schema)
