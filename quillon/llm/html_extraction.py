@@ -10,6 +10,7 @@ winning paths of its host.
 
 from __future__ import annotations
 
+import hashlib
 import html as references
 import re
 from collections.abc import Iterator
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Paths that a page votes for, and that a host keeps, at most.
-VOTES, WINNERS = 6, 8
+#: Paths that a host keeps.  A page on which none of them holds enough of its prose is read with its own best path, so a host of more kinds of pages loses consensus on the rarest, but no text.
+WINNERS = 8
+#: Characters of a step of a path; a longer step ends in a hash of the whole.
+STEP_CHARS = 80
 #: Elements below this depth are part of the container above them.
 DEPTH = 24
 #: A host's path is used on a page where it scores at least this share of the page's own best.
@@ -39,7 +42,7 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes".split(
 #: Tags that never hold an article's text.
 DROPPED = frozenset(
     "head script style textarea title xmp iframe noembed noframes noscript template svg math canvas audio video object applet map"
-    " nav footer aside form dialog menu button select datalist option fieldset".split()
+    " nav footer aside dialog menu button select datalist option fieldset legend label".split()
 )
 #: Tags that begin a block of text of their own.
 BLOCK = frozenset(
@@ -87,8 +90,10 @@ def _judged(tag: str, source: str) -> tuple[str, bool, bool]:
         named |= words == ["content"] or "".join(words) in ARTICLE or (words[0] in ARTICLE and words[-1] in ("content", "body", "text", "wrapper", "inner"))
         away |= words[0] in ASIDE or words[-1] in ASIDE or (words[-1].isdigit() and len(words) > 1 and words[-2] in ASIDE)
     hidden = "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""), re.I) is not None
-    classes = sorted({_DIGITS.sub("N", c.lower()) for c in attributes.get("class", "").split()})[:4]
-    found = ".".join([tag, *classes])[:80], hidden or (away and not named and tag not in ("html", "body", "main", "article")), named or tag in ("article", "main")
+    step = ".".join([tag, *sorted({_DIGITS.sub("N", c.lower()) for c in attributes.get("class", "").split()})])
+    if len(step) > STEP_CHARS:
+        step = f"{step[:STEP_CHARS]}~{hashlib.md5(step.encode()).hexdigest()}"
+    found = step, hidden or (away and not named and tag not in ("html", "body", "main", "article", "form")), named or tag in ("article", "main")
     if len(_classed) > 50_000:
         _classed.clear()
     _classed[key] = found
@@ -99,20 +104,23 @@ class Page:
     """Blocks and containers of a page, in page order.
 
     ``containers`` are (parent, path, named); ``blocks`` are (container, text,
-    share of linked characters, heading).
+    share of linked characters, tag if a heading).  A form is put aside unless it
+    is wrapped around the page, holding half of its prose or more.
     """
 
     def __init__(self, html: str) -> None:
         self.containers: list[tuple[int, str, bool]] = [(-1, "", False)]
-        self.blocks: list[tuple[int, str, float, bool]] = []
+        self.blocks: list[tuple[int, str, float, str]] = []
         self._read(html)
         self.scores = self._scores()
 
     def _read(self, html: str) -> None:
         stack: list[tuple[str, int, int, int]] = []  # tag, container, and what it adds to aside and to link
         aside = links = linked = 0
-        here, heading = 0, False
+        here, heading = 0, ""
         parts: list[str] = []
+        forms: list[int] = []  # of each block the form that holds it, 0 for none
+        form = opened = 0
 
         def end_block() -> None:
             nonlocal linked
@@ -120,13 +128,16 @@ class Page:
                 text = " ".join("".join(parts).split())
                 if text:
                     self.blocks.append((here, text, min(1.0, linked / len(text)), heading))
+                    forms.append(form)
                 parts.clear()
             linked = 0
 
         def pop(n: int) -> None:
-            nonlocal aside, links, here
+            nonlocal aside, links, here, form
             while len(stack) > n:
-                _, _, a, b = stack.pop()
+                t, _, a, b = stack.pop()
+                if t == "form":
+                    form = 0
                 aside -= a
                 links -= b
             here = stack[-1][1] if stack else 0
@@ -152,7 +163,7 @@ class Page:
             if m[1]:
                 if tag in BLOCK:
                     end_block()
-                    heading = False
+                    heading = ""
                 elif tag == "br":
                     parts.append(" ")
                     continue
@@ -180,7 +191,7 @@ class Page:
             block = tag in BLOCK
             if block:
                 end_block()
-                heading = tag in HEADINGS
+                heading = tag if tag in HEADINGS else ""
                 # a block ends an open paragraph
                 n = len(stack) - 1
                 while n >= 0 and stack[n][0] not in BLOCK:
@@ -206,18 +217,31 @@ class Page:
                 self.containers.append((here, f"{self.containers[here][1]}/{step}", named))
                 container = len(self.containers) - 1
             if block or away or tag == "a":
+                if tag == "form" and not form:
+                    opened += 1
+                    form = opened
                 stack.append((tag, container, int(away), int(tag == "a")))
                 aside += away
                 links += tag == "a"
                 here = container
         end_block()
+        if opened:
+            prose = [0] * (opened + 1)
+            for (_, text, linked, h), f in zip(self.blocks, forms, strict=True):
+                prose[f] += len(text) if h or self._prose(text, linked) else 0
+            wrapped = {0, *(f for f in range(1, opened + 1) if prose[f] and 2 * prose[f] >= sum(prose))}
+            self.blocks = [b for b, f in zip(self.blocks, forms, strict=True) if f in wrapped]
+
+    @staticmethod
+    def _prose(text: str, linked: float) -> bool:
+        return linked < 0.5 and (len(text) >= 80 or text[-1] in ".!?…:;\"'»”’)" or text.count(" ") >= 12)
 
     def _scores(self) -> dict[str, float]:
         """Score per path."""
         total = [0.0] * len(self.containers)
         for c, text, linked, heading in self.blocks:
             n = len(text)
-            prose = heading or (linked < 0.5 and (n >= 80 or text[-1] in ".!?…:;\"'»”’)" or text.count(" ") >= 12))
+            prose = heading or self._prose(text, linked)
             total[c] += n * (1.0 - linked) if prose else -2.0 * n * linked - 0.5 * n * (1.0 - linked)
         for c in range(len(total) - 1, 0, -1):
             total[self.containers[c][0]] += total[c]
@@ -230,18 +254,20 @@ class Page:
         return found
 
     def votes(self) -> list[tuple[str, float]]:
-        """The best paths; of equal scores the outermost comes first."""
-        order = sorted(((p, s) for p, s in self.scores.items() if s > 0), key=lambda x: (-x[1], x[0].count("/"), x[0]))
-        return order[:VOTES]
+        """The paths of some prose, best first; of equal scores the outermost comes first."""
+        return sorted(((p, s) for p, s in self.scores.items() if s > 0), key=lambda x: (-x[1], x[0].count("/"), x[0]))
 
     def text(self, path: str | None) -> str:
-        """Blocks of the outermost containers at ``path``, one to a line."""
+        """Blocks of the outermost containers at ``path``, one to a line, led by a title that stands just before them."""
         if path is None:
             return ""
         kept = [False] * len(self.containers)
         for c, (parent, p, _) in enumerate(self.containers):
             kept[c] = p == path or (parent >= 0 and kept[parent])
-        return "\n".join(text for c, text, _, _ in self.blocks if kept[c])
+        own = [i for i, b in enumerate(self.blocks) if kept[b[0]]]
+        if own and own[0] and self.blocks[own[0] - 1][3] == "h1" and not any(self.blocks[i][3] == "h1" for i in own):
+            own.insert(0, own[0] - 1)
+        return "\n".join(self.blocks[i][1] for i in own)
 
     def best(self, host_paths: list[str] | None) -> str | None:
         """The host's first path that holds enough of this page, else the page's own best."""
@@ -262,7 +288,7 @@ def host_of(url: str):
 
 def _voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[tuple[str, str], list] = {}
-    for batch in batches:
+    for batch in common.text_groups(batches, text="html"):
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             for path, score in Page(html or "").votes():
                 held = sums.setdefault((host, path), [0.0, 0])
@@ -311,6 +337,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     without a host is read with its own best path.  A page that is cut off in a
     tag loses that tag alone.  Repeated rows are kept, each read for itself, and
     a path's score ties go to the outer, then to the alphabetically first path.
+    Pages of any length are read whole; other columns are never read, and an
+    empty table gives an empty result.
     """
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(url_col).alias("host"))
     winners = common.written(consensus_paths(pages, url_col, html_col), "host-paths")

@@ -7,9 +7,12 @@ of different followers) and the next shorter context is tried, down to a
 uniform code over 256 bytes.  The statistics are frozen after training, so the
 bits of a text are exact sums.  The text with the fewest bits per language wins.
 
-The coded stream is the text in lower case with one space before each word, and
-contexts do not reach back over a space.  A word's bits are then a property of
-the word alone, and a worker computes them once per distinct word.
+The coded stream is the text in lower case with one space before each word, the
+spaces coded like any byte, and contexts reach back over them.  Only a space and
+the three bytes after it can see the word before; the bits of a word's other
+bytes are a property of the word, and those of the joint a property of the
+``DEPTH`` bytes before it and the three after.  A worker computes both once, and
+their sums are the code length of the text.
 """
 
 from __future__ import annotations
@@ -31,23 +34,25 @@ DEPTH = 4
 SAMPLE = 400
 #: Ids drawn by hash range, as a multiple of the sample, before the sample is cut to size.
 SPARE = 2.0
-#: A sampled text longer than this many characters is left out of training, which bounds the trees.
-SAMPLE_CHARS = 50_000
 #: Log-odds between languages are divided by this before they become a probability.
 TEMPERATURE = 2.0
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
 
-def _stream(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of all words, each led by a space, and for each byte its place in its word."""
-    flat = np.frombuffer("".join([" " + w for w in words]).encode(), np.uint8).astype(np.int64)
-    at = np.arange(len(flat))
-    return flat, at - np.maximum.accumulate(np.where(flat == 32, at, 0))
+HEAD = DEPTH - 1
+#: Longer words are coded anew each time they occur, which bounds the memo.
+MEMO_CHARS = 48
+
+
+def _stream(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, each word led by a space, and the length of each text."""
+    coded = ["".join([" " + w for w in t]).encode() for t in texts]
+    return np.frombuffer(b"".join(coded), np.uint8).astype(np.int64), np.fromiter(map(len, coded), np.int64, len(coded))
 
 
 def _context(flat: np.ndarray, order: int) -> np.ndarray:
-    """The ``order`` bytes before each place as one number; meaningless where the word is younger."""
+    """The ``order`` bytes before each place as one number; meaningless where fewer bytes come before."""
     key = np.zeros(len(flat), np.int64)
     for back in range(order, 0, -1):
         key[back:] = key[back:] << 8 | flat[: len(flat) - back]
@@ -79,9 +84,9 @@ class Tree:
             tree.escapes.append(np.log2((total + kinds) / kinds))
         return tree
 
-    def cost(self, flat: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Bits of each byte of a stream."""
-        bits, todo = np.zeros(len(flat)), np.flatnonzero(flat != 32)
+    def cost(self, flat: np.ndarray, place: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """Bits of the ``wanted`` bytes of a stream, 0 of the others; ``place`` is the number of bytes that come before."""
+        bits, todo = np.zeros(len(flat)), np.flatnonzero(wanted)
         for k in range(DEPTH, -1, -1):
             context = _context(flat, k)
             here = todo[place[todo] >= k]
@@ -105,16 +110,15 @@ class Tree:
 
 def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, order, context and byte, count) of the training texts of a batch."""
-    for batch in batches:
-        by: dict[str, list[str]] = {}
+    for batch in common.text_groups(batches):
+        by: dict[str, list[list[str]]] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            by.setdefault(lang, []).extend(text.lower().split())
-        for lang, words in by.items():
-            if not words:
-                continue
-            flat, place = _stream(words)
+            by.setdefault(lang, []).append(text.lower().split())
+        for lang, texts in by.items():
+            flat, length = _stream(texts)
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length)
             for k in range(DEPTH + 1):
-                here = np.flatnonzero((place >= k) & (flat != 32))
+                here = np.flatnonzero(place >= k)
                 if not len(here):
                     continue
                 key, n = np.unique(_context(flat, k)[here] << 8 | flat[here], return_counts=True)
@@ -131,7 +135,7 @@ def train(docs: DataFrame, learn, sample: int = SAMPLE, id_col: str = "doc_id",
     the driver.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    ids = rows.where(F.length("text") <= SAMPLE_CHARS).select("id", "lang", F.xxhash64(F.col("id").cast("string")).alias("h"))
+    ids = rows.select("id", "lang", F.xxhash64(F.col("id").cast("string")).alias("h"))
     share = {r.lang: min(1.0, SPARE * sample / r.n) for r in ids.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not share:
         return {}
@@ -139,7 +143,7 @@ def train(docs: DataFrame, learn, sample: int = SAMPLE, id_col: str = "doc_id",
     pick = Window.partitionBy("lang").orderBy("h", "id")
     chosen = ids.where(F.col("h") / F.lit(float(1 << 64)) + 0.5 < limit).withColumn("r", F.row_number().over(pick)).where(F.col("r") <= sample).select("id", "lang").distinct()
     # at most ``sample`` ids per language
-    texts = rows.join(F.broadcast(chosen), ["id", "lang"], "left_semi").where(F.length("text") <= SAMPLE_CHARS).select("text", "lang")
+    texts = rows.join(F.broadcast(chosen), ["id", "lang"], "left_semi").select("text", "lang")
     sums = texts.mapInArrow(counted, "lang string, k int, key bigint, n bigint").groupBy("lang", "k", "key").agg(F.sum("n").alias("n"))
     found = sums.toArrow()
     langs = np.asarray(found.column("lang").to_pylist(), object)
@@ -148,34 +152,85 @@ def train(docs: DataFrame, learn, sample: int = SAMPLE, id_col: str = "doc_id",
 
 
 class Scorer:
-    """Bits per language of whole texts, through a memo of distinct words."""
+    """Bits per language of whole texts, through memos of distinct words and joints."""
 
     def __init__(self, trees: dict[str, Tree]) -> None:
         self.langs, self.trees = list(trees), list(trees.values())
         self.memo: dict[str, int] = {}
-        self.table = np.zeros((1 << 12, len(self.trees)), np.float32)
-
-    def _learn(self, words: list[str]) -> None:
-        base = len(self.memo)
-        if base + len(words) > len(self.table):
-            self.table = np.resize(self.table, (2 * (base + len(words)), len(self.trees)))
-        flat, place = _stream(words)
-        first = np.flatnonzero(flat == 32)
-        for column, tree in enumerate(self.trees):
-            self.table[base : base + len(words), column] = np.add.reduceat(tree.cost(flat, place), first)
-        self.memo.update(zip(words, range(base, base + len(words)), strict=True))
+        self.table = np.zeros((1 << 12, len(self.trees)))
+        self.joints, self.joint_bits = np.zeros(0, np.uint64), np.zeros((0, len(self.trees)))
+
+    def _words(self, words: list[str]) -> np.ndarray:
+        """Bits of what follows the first bytes of each word, at its index in the memo."""
+        memo = self.memo
+        new = sorted(set(words).difference(memo), key=len)
+        if new:
+            base = len(memo)
+            if base + len(new) > len(self.table):
+                self.table = np.resize(self.table, (2 * (base + len(new)), len(self.trees)))
+            flat, length = _stream([[w] for w in new])
+            first = np.cumsum(length) - length
+            place = np.arange(len(flat)) - np.repeat(first, length)
+            for column, tree in enumerate(self.trees):
+                self.table[base : base + len(new), column] = np.add.reduceat(tree.cost(flat, place, place > HEAD), first)
+            memo.update(zip(new, range(base, base + len(new)), strict=True))
+        found = self.table[np.fromiter(map(memo.__getitem__, words), np.int64, len(words))]
+        # long words are the last rows, and are forgotten
+        while new and len(new[-1]) > MEMO_CHARS:
+            del memo[new.pop()]
+        return found
+
+    def _joints(self, flat: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Bits of each space and the bytes of its word that can see beyond it."""
+        spaces = np.flatnonzero(flat == 32)
+        begin = np.repeat(np.cumsum(length) - length, length)[spaces]
+        # the bytes before the space, 0 where the text has none, and those after it, 0 where the word has none
+        shape = np.zeros((len(spaces), DEPTH + 1 + HEAD), np.int64)
+        for back in range(1, DEPTH + 1):
+            shape[:, DEPTH - back] = np.where(spaces - back >= begin, flat[np.maximum(spaces - back, 0)], 0)
+        shape[:, DEPTH] = 32
+        inside = np.ones(len(spaces), bool)
+        for after in range(1, HEAD + 1):
+            at = np.minimum(spaces + after, len(flat) - 1)
+            inside &= (spaces + after < len(flat)) & (flat[at] != 32)
+            shape[:, DEPTH + after] = np.where(inside, flat[at], 0)
+        key = np.zeros(len(spaces), np.uint64)
+        for column in [*range(DEPTH), *range(DEPTH + 1, DEPTH + 1 + HEAD)]:
+            key = key << np.uint64(8) | shape[:, column].astype(np.uint64)
+        distinct, first, back = np.unique(key, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.joints, distinct)
+        known = (self.joints[np.minimum(at, len(self.joints) - 1)] == distinct) if len(self.joints) else np.zeros(len(distinct), bool)
+        bits = np.zeros((len(distinct), len(self.trees)))
+        bits[known] = self.joint_bits[at[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            rows = shape[first[new]]
+            missing = (rows[:, :DEPTH] == 0).sum(axis=1)
+            place = np.maximum(np.arange(rows.shape[1])[None, :] - missing[:, None], 0).ravel()
+            wanted = ((rows != 0) & (np.arange(rows.shape[1]) >= DEPTH)[None, :]).ravel()
+            for column, tree in enumerate(self.trees):
+                bits[new, column] = tree.cost(rows.ravel(), place, wanted).reshape(len(new), -1).sum(axis=1)
+            if len(self.joints) > common.MEMO_ENTRIES:
+                self.joints, self.joint_bits = self.joints[:0], self.joint_bits[:0]
+            order = np.argsort(np.concatenate([self.joints, distinct[new]]), kind="stable")
+            self.joints = np.concatenate([self.joints, distinct[new]])[order]
+            self.joint_bits = np.concatenate([self.joint_bits, bits[new]])[order]
+        return bits[back]
 
     def bits(self, texts: list[str]) -> np.ndarray:
+        """Code length of each text under each language."""
         if len(self.memo) > common.MEMO_ENTRIES:
             self.memo.clear()
-        parts = [t.lower().split() for t in texts]
-        new = list(set().union(*parts).difference(self.memo)) if parts else []
-        if new:
-            self._learn(new)
+        # a zero byte stands for none in a joint, so it is coded as another control character
+        parts = [t.lower().replace("\0", "\1").split() for t in texts]
         out = np.zeros((len(texts), len(self.trees)))
-        for row, p in enumerate(parts):
-            at = np.fromiter(map(self.memo.__getitem__, p), np.int64, len(p))
-            out[row] = self.table[at].sum(axis=0, dtype=np.float64)
+        count = np.fromiter(map(len, parts), np.int64, len(parts))
+        if not count.sum():
+            return out
+        flat, length = _stream(parts)
+        total = self._joints(flat, length) + self._words([w for p in parts for w in p])
+        filled = np.flatnonzero(count)
+        out[filled] = np.add.reduceat(total, (np.cumsum(count) - count)[filled], axis=0)
         return out
 
 
@@ -183,7 +238,9 @@ def identify(docs: DataFrame, trees: dict[str, Tree], id_col: str = "doc_id", te
     """id, ``lang_pred`` and ``score`` (0 to 1) of each whole text, in one narrow pass.
 
     A null text, one without letters, or an empty model gives ``und`` and 0.
-    Ties go to the language first in alphabetical order.
+    Ties go to the language first in alphabetical order.  Repeated rows score
+    alike, texts of any length are coded whole, other columns are never read, and
+    an empty table gives an empty result.
     """
     model = docs.sparkSession.sparkContext.broadcast(trees)
 

@@ -3,7 +3,7 @@
 A text's parts are its sentences, lines, paragraphs and the text itself, and runs
 of consecutive paragraphs, for notices of several paragraphs inside a longer text;
 of overlapping runs the best counts, if no part of it matches as well.  Words are
-lower-cased, copyright lines are left out, and a part matches a template if their
+lower-cased, copyright clauses are left out, and a part matches a template if their
 word bigrams, as multisets, have a Dice coefficient of ``threshold`` or more.  A
 coefficient t bounds the sizes: of a part with n bigrams only templates with
 n * t / (2 - t) to n * (2 - t) / t bigrams can match, and only these are compared.
@@ -24,6 +24,14 @@ from pyspark.sql import DataFrame
 from . import common
 from .decontamination import normalised
 
+_BSD_DISCLAIMER = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY'
+    " AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR"
+    " CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY"
+    " OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF"
+    " SUCH DAMAGE."
+)
+
 #: Public licence texts and notices (name, text).
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -53,6 +61,45 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
         " AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS,"
         " WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
     ),
+    (
+        "BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must"
+        " retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of"
+        " conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. " + _BSD_DISCLAIMER,
+    ),
+    (
+        "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must"
+        " retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of"
+        " conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its"
+        " contributors may be used to endorse or promote products derived from this software without specific prior written permission. " + _BSD_DISCLAIMER,
+    ),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."
+        " Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following"
+        " restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an"
+        " acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as"
+        " being the original software. 3. This notice may not be removed or altered from any source distribution.",
+    ),
+    (
+        "LGPL-2.1-or-later",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either"
+        " version 2.1 of the License, or (at your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied"
+        " warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+    ),
+    (
+        "GPL-2.0-or-later",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2"
+        " of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of"
+        " MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    ),
+    (
+        "AGPL-3.0-or-later",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either"
+        " version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied"
+        " warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.",
+    ),
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
     ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -76,7 +123,8 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 )
 
 THRESHOLD = 0.8
-_COPYRIGHT = re.compile(r"(^|\n)[ \t]*(?:[Cc][Oo][Pp][Yy][Rr][Ii][Gg][Hh][Tt]|\([Cc]\)|©)[^\n]*")
+#: A copyright clause at the head of a line, up to the end of its sentence.
+_COPYRIGHT = re.compile(r"(^|\n)[ \t]*(?:[Cc][Oo][Pp][Yy][Rr][Ii][Gg][Hh][Tt]|\([Cc]\)|©)(?:[^.!?\n]|[.!?][^ \t\r\n.!?])*[.!?]*")
 _PARAGRAPH = re.compile(r"\n[ \t\r]*\n")
 _SENTENCE = re.compile(r"(?:[^.!?\n]|[.!?][^ \t\r\n.!?])+[.!?]*")
 
@@ -104,6 +152,8 @@ class Scanner:
         self.low, self.high = threshold / (2 - threshold), (2 - threshold) / threshold
         self.most = int(self.sizes[-1] * self.high + 1) if self.templates else 0
         self.known = {b for _, _, own in self.templates for b in own}
+        #: A match of the smallest template shares so many of its bigrams, and no match shares fewer.
+        self.least = threshold * (1 + self.low) / 2 * self.sizes[0] - 1e-9 if self.templates else 0.0
         self.memo: dict[str, tuple[str, float] | None] = {}
 
     def best(self, part: str) -> tuple[str, float] | None:
@@ -112,10 +162,11 @@ class Scanner:
             return None
         if (known := self.memo.get(part, part)) is not part:
             return known
-        own = bigrams(part)
-        n = sum(own.values())
+        words = normalised(part).split()
+        n = len(words) - 1
         found: tuple[float, str] | None = None
-        if n:
+        if 0 < n <= self.most:
+            own = Counter(zip(words, words[1:]))
             slack = 1e-9
             for size, name, other in self.templates[bisect_left(self.sizes, n * self.low - slack) : bisect_right(self.sizes, n * self.high + slack)]:
                 shared = sum(min(c, own[b]) for b, c in other.items() if b in own)
@@ -129,6 +180,11 @@ class Scanner:
             self.memo[part] = result
         return result
 
+    def may_match(self, text: str) -> bool:
+        """Whether the text has enough template bigrams for any match at all."""
+        words = normalised(_COPYRIGHT.sub(r"\1", text)).split()
+        return sum(map(self.known.__contains__, zip(words, words[1:]))) >= self.least
+
     def runs(self, text: str) -> list[tuple[str, float, str]]:
         """(license, dice, run) of the best runs of two or more consecutive paragraphs, but not of the whole text.
 
@@ -172,8 +228,10 @@ def scan_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
     """Per row its id and ``matches``: array of (license, dice, part), best first.
 
     Each distinct part counts once.  Null and empty texts, and parts of one
-    word, match nothing; repeated rows are scanned each.  One narrow pass; the
-    templates are constants of the call.
+    word, match nothing; repeated rows are scanned each, texts of any length
+    whole.  Of templates that match equally well the first in the alphabet is
+    named.  One narrow pass; the templates are constants of the call.  Other
+    columns are never read, and an empty table gives an empty result.
     """
     kind = docs.schema[id_col].dataType
     from pyspark.sql.pandas.types import to_arrow_type
@@ -185,6 +243,9 @@ def scan_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
         for group in common.text_groups(batches):
             rows = []
             for text in group.column("text").to_pylist():
+                if not text or not scanner.may_match(text):
+                    rows.append([])
+                    continue
                 found = [(m[0], m[1], p) for p in parts_of(text or "") if (m := scanner.best(p))]
                 seen = {p for _, _, p in found}
                 found += [m for m in scanner.runs(text or "") if m[2] not in seen]

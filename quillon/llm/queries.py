@@ -21,32 +21,38 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
     return extract_main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
 def op2_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed whole into sequences of at most 2048 tokens; a null text is its end alone."""
     return pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def op3_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; a null id is not held out and not learned from."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
-    held = crc32_of_id() % 4 == 2
+    held = F.coalesce(crc32_of_id() % 4 == 2, F.lit(False))
     trees = language.train(docs, F.crc32(F.col("id").cast("string").cast("binary")) % 4 != 2)
     return language.identify(docs, trees).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under a similarity of 0.8 of five-word shingles."""
     return join_components(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def op5_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; a null id is not held out and not learned from."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
     model = toxicity.train(docs, labels, crc32_of_id() % 5 != 0)
-    return toxicity.score(docs, model).select("doc_id", (crc32_of_id() % 5 == 0).alias("held_out"), "score", "predicted")
+    return toxicity.score(docs, model).select("doc_id", F.coalesce(crc32_of_id() % 5 == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op6_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside windows of benchmark items."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     found = decontaminate(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
     n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda n, h: n + h["last"] - h["first"] + 1)
@@ -61,6 +67,7 @@ def op6_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of every document."""
     found = scan_licenses(table(spark, sf_dir, "documents", "doc_id", "text"))
     names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"])))
     return found.select(
@@ -72,10 +79,12 @@ def op7_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_topk_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best partners of every vector whose id is divisible by 20."""
     return top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0)
 
 
 def op9_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document; a null id is not held out and not learned from."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     crc = lambda c: F.crc32(c.cast("string").cast("binary"))
     scored = language_model.score_texts(docs, lambda c: crc(c) % 10 != 0)
@@ -84,6 +93,7 @@ def op9_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
     return count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
@@ -133,7 +143,7 @@ SELECT query_id, CAST(rank AS integer) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 20""",
     "op7_license_dice": rf"""
 WITH clean AS (
-  SELECT doc_id, row_number() OVER () AS rid, regexp_replace(coalesce(text, ''), '(^|\n)[ \t]*(?:[Cc][Oo][Pp][Yy][Rr][Ii][Gg][Hh][Tt]|\([Cc]\)|©)[^\n]*', '\1', 'g') AS t FROM documents),
+  SELECT doc_id, row_number() OVER () AS rid, regexp_replace(coalesce(text, ''), '(^|\n)[ \t]*(?:[Cc][Oo][Pp][Yy][Rr][Ii][Gg][Hh][Tt]|\([Cc]\)|©)(?:[^.!?\n]|[.!?][^ \t\r\n.!?])*[.!?]*', '\1', 'g') AS t FROM documents),
 parts AS (
   SELECT DISTINCT rid, unnest(list_concat(list_concat(regexp_extract_all(t, '(?:[^.!?\n]|[.!?][^ \t\r\n.!?])+[.!?]*'), string_split(t, chr(10))), list_concat(string_split_regex(t, '\n[ \t\r]*\n'), [t]))) AS p FROM clean),
 words AS (SELECT rid, p, regexp_extract_all({_FOLD.format("p")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM parts),

@@ -23,3 +23,15 @@ def test_notice_of_several_paragraphs_in_a_longer_text():
 
 def test_words_may_be_split_by_tabs():
     assert matches("Released\tunder\tthe\tMIT\tLicense.")[0] == {"MIT"}
+
+
+def test_copyright_clause_leaves_the_rest_of_its_line():
+    assert matches("Copyright 2020 X. Licensed under the MIT License.")[0] == {"MIT"}
+
+
+def test_texts_that_are_passed_over_have_no_match():
+    scanner = Scanner(TEMPLATES, 0.8)
+    for name, text in TEMPLATES:
+        assert scanner.may_match(f"Some words before. {text}\nAnd after.")
+        assert (scanner.best(text) or (None,))[0] == name
+    assert not scanner.may_match("nothing of the kind")

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,6 +50,21 @@ def test_main_text(page):
     assert read.text(read.best(None)) == WANTED
 
 
+def test_page_inside_one_form_and_title_before_the_content():
+    wrapped = f"<body><form id='aspnetForm'><div class='top'><label>Find</label><input></div><div class='content'>{ARTICLE}</div></form><form><p>Get our letter.</p></form></body>"
+    read = Page(wrapped)
+    assert read.text(read.best(None)) == WANTED
+    title, rest = ARTICLE.split("</h1>")
+    read = Page(f"<body><div class='w'>{title}</h1><div class='content'>{rest}</div><div class='share'>Tell others.</div></div></body>")
+    assert read.text(read.best(None)) == WANTED
+
+
+def test_long_classes_stay_apart():
+    classes = " ".join(f"utility-class-x{chr(97 + i)}{chr(97 + j)}" for i in range(5) for j in range(5))
+    read = Page(f"<div class='{classes} one'><p>{'A sentence of prose. ' * 9}</p></div><div class='{classes} two'><p>{'Links and bits. ' * 9}</p></div>")
+    assert len({p for _, p, _ in read.containers}) == 3
+
+
 def test_extraction_keeps_odd_pages(spark):
     rows = [(1, None, None), (2, "http://a.example/x", ""), (3, "http://a.example/y", "<p>One sentence.</p>"), (3, "http://a.example/y", "<p>One sentence.</p>"), (None, "bad", "<"), (5, "//h", "<div>" * 3000 + "deep text.")]
     out = extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
@@ -223,6 +239,43 @@ def test_language(spark, odd, empty):
     assert language.identify(empty, trees).count() == 0
 
 
+def test_code_lengths_match_a_direct_model():
+    rng = np.random.default_rng(6)
+    letters = {"aa": "abcdeé", "bb": "abcxyzß"}
+    texts = {k: [" ".join("".join(rng.choice(list(v), rng.integers(1, 7))) for _ in range(40)) for _ in range(6)] for k, v in letters.items()}
+    stream = lambda t: "".join(" " + w for w in t.lower().split()).encode()
+    batch = pa.RecordBatch.from_arrays([pa.array([k for k in texts for _ in texts[k]]), pa.array([t for k in texts for t in texts[k]])], names=["lang", "text"])
+    found = pa.Table.from_batches(list(language.counted(iter([batch])))).to_pandas().groupby(["lang", "k", "key"], as_index=False).n.sum()
+    scorer = language.Scorer({k: language.Tree.of(*(own[c].to_numpy() for c in ("k", "key", "n"))) for k, own in found.groupby("lang")})
+
+    def direct(lang, text):
+        follow: dict[bytes, Counter] = {}
+        for t in texts[lang]:
+            s = stream(t)
+            for i in range(len(s)):
+                for k in range(min(i, language.DEPTH) + 1):
+                    follow.setdefault(s[i - k : i], Counter())[s[i]] += 1
+        bits, s = 0.0, stream(text)
+        for i in range(len(s)):
+            for k in range(min(i, language.DEPTH), -1, -1):
+                seen = follow.get(s[i - k : i])
+                if not seen:
+                    continue
+                total = sum(seen.values()) + len(seen)
+                if s[i] in seen:
+                    bits += np.log2(total / seen[s[i]])
+                    break
+                bits += np.log2(total / len(seen))
+            else:
+                bits += 8
+        return bits
+
+    asked = [texts["aa"][0], "a", "abc x\n\nyz", "Éa ß 中文 " * 3, "", "x" * 300 + " ab", texts["bb"][1] + texts["aa"][2]]
+    for _ in range(2):  # the second time from the memos
+        got = scorer.bits(asked)
+        assert np.allclose(got, [[direct(k, t) for k in scorer.langs] for t in asked], rtol=1e-12)
+
+
 def test_toxicity_without_labels_is_the_share(spark, odd, empty):
     labels = spark.createDataFrame([(4, 1)], "doc_id bigint, toxic int")
     model = toxicity.train(odd.select("doc_id", "text"), labels.limit(0), F.lit(True))
