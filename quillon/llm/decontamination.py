@@ -21,8 +21,8 @@ from . import common
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 _LOWER = {upper: upper + 32 for upper in range(65, 91)}
-#: Bytes of benchmark text in one automaton, which every task holds; more text makes more automata, one after the other.
-AUTOMATON_BYTES = 4 << 20
+#: Bytes of benchmark text in one automaton, which every worker holds in about 400 times the memory; more text makes more automata, one after the other.
+AUTOMATON_BYTES = 1 << 20
 
 SPAN = T.StructType([T.StructField(n, T.LongType()) for n in ("first", "last", "start", "end")])
 
