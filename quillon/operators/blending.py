@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from functools import reduce
-from itertools import combinations
+from itertools import combinations, product
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .metrics import average_rank, best_threshold, threshold_curve
+from .metrics import best_threshold, scores_of_counts, threshold_curve
+from .ordering import average_ranks as mean_ranks
 
 
 def wide_scores(models: dict[str, DataFrame], key: str = "id", proba: str = "proba") -> DataFrame:
@@ -58,7 +59,18 @@ def rank_scores(rows: DataFrame, columns: list[str], key: str = "id") -> DataFra
 
 def average_ranks(rows: DataFrame, column: str, by: list[str]) -> DataFrame:
     """Adds the mean-tie rank divided by the group's size."""
-    return rows.withColumn("average_rank", F.round(average_rank(column, by) / F.count("*").over(Window.partitionBy(*by)), 6))
+    size = rows.groupBy(*by).agg(F.count("*").alias("_size"))
+    ranked = mean_ranks(rows, column, by, "average_rank").join(size, by)
+    return ranked.withColumn("average_rank", F.round(F.col("average_rank") / F.col("_size"), 6)).drop("_size")
+
+
+def weight_search(wide: DataFrame, models: list[str], label: str = "label", steps: int = 4, threshold: float = 0.5) -> DataFrame:
+    """(weights, macro_f1) of every blend whose weights are multiples of 1 / ``steps``; the grid is short, and one aggregate scores all."""
+    grid = [w for w in product(range(steps + 1), repeat=len(models)) if sum(w) == steps]
+    blends = F.array(*(F.struct(F.lit("|".join(map(str, w))).alias("weights"), (F.round(reduce(lambda a, b: a + b, (F.col(m) * (n / steps) for m, n in zip(models, w, strict=True))), 6) >= threshold).alias("hit")) for w in grid))
+    true = F.col(label) == 1
+    counts = wide.select(label, F.explode(blends).alias("x")).groupBy("x.weights").agg(F.count_if(F.col("x.hit") & true).alias("tp"), F.count_if(F.col("x.hit") & ~true).alias("fp"), F.count_if(~F.col("x.hit") & true).alias("fn"), F.count_if(~F.col("x.hit") & ~true).alias("tn"))
+    return counts.select("weights", F.round(scores_of_counts(*map(F.col, ("tp", "fp", "fn", "tn")))["macro_f1"], 6).alias("macro_f1"))
 
 
 def model_correlations(wide: DataFrame, models: list[str]) -> DataFrame:

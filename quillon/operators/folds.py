@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import quantiles
+
 
 def hash_number(c: Column, seed: str = "0") -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), c.cast("string"))), 1, 8), 16, 10).cast("bigint")
@@ -30,10 +32,25 @@ def stratified_folds(rows: DataFrame, label: str, key: str, k: int, seed: str =
     return ranged.withColumn("_p", place).join(offsets, [label, "_b"]).withColumn("fold", ((F.col("_p") - 1 + F.col("_o")) % k).cast("int")).drop("_h", "_b", "_p", "_o")
 
 
+def grouped_folds(rows: DataFrame, group: str, label: str, key: str, k: int, seed: str = "0") -> DataFrame:
+    """Folds that keep groups together; with fewer than ``k`` groups, folds stratified by label instead."""
+    if rows.select(group).distinct().limit(k).count() < k:
+        return stratified_folds(rows, label, key, k, seed)
+    return rows.withColumn("fold", group_fold(F.col(group), k, seed))
+
+
+def stratified_group_folds(rows: DataFrame, group: str, label: str, k: int, seed: str = "0", bands: int = 10) -> DataFrame:
+    """Folds that keep groups together and the share of label 1 alike: groups are dealt in turn within bands of that share."""
+    share = rows.groupBy(group).agg(F.floor(F.avg((F.col(label) == 1).cast("int")) * bands).cast("int").alias("_band"))
+    dealt = stratified_folds(share, "_band", group, k, seed).select(F.col(group).alias("_group"), "fold")
+    return rows.join(dealt, F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
+
+
 def temporal_split(rows: DataFrame, ts: str, share: float = 0.8) -> DataFrame:
     """'train' up to the exact ``share`` quantile of time, 'test' after it."""
-    cut = rows.agg(F.percentile(F.unix_micros(F.col(ts).cast("timestamp")), share).alias("cut")).first().cut
-    return rows.withColumn("part", F.when(F.unix_micros(F.col(ts).cast("timestamp")) <= (cut if cut is not None else 0), "train").otherwise("test"))
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    found = quantiles(rows.select(micros.alias("t")), "t", {"cut": share}).first()
+    return rows.withColumn("part", F.when(micros <= (found.cut if found else 0), "train").otherwise("test"))
 
 
 def leaking_groups(rows: DataFrame, group: str, fold: str = "fold") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import quantiles
+
 from quillon.functions.text import tokens
 
 
@@ -35,7 +37,9 @@ def null_rates(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def above_quantile(rows: DataFrame, column: str, p: float) -> DataFrame:
-    cut = rows.agg(F.percentile(column, p).alias("cut")).first().cut
+    """Rows at or above the exact quantile of the column; none of a column of nulls."""
+    found = quantiles(rows, column, {"cut": p}).first()
+    cut = found.cut if found else None
     return rows.where(F.col(column) >= F.lit(cut)).withColumn("cut", F.round(F.lit(cut).cast("double"), 6))
 
 

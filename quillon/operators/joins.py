@@ -81,3 +81,26 @@ def hash_sample(rows: DataFrame, key: str, n: int, by: list[str] | None = None,
     if not by:
         return rows.orderBy(order, key).limit(n)
     return rows.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(order, key))).where(F.col("_r") <= n).drop("_r")
+
+
+def first_by_names(rows: DataFrame, names: dict[str, list[str]], then: list[str], n: int) -> DataFrame:
+    """The first ``n`` rows in the order that each list of names gives its column, other names last, and then by ``then``."""
+    places = [F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, order)), F.col(c)), F.lit(0)), F.lit(len(order) + 1)) for c, order in names.items()]
+    return rows.orderBy(*places, *then).limit(n)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The frame, computed once and saved below ``spark.checkpoint.dir``, without the plan that made it.
+
+    A session on one machine without that setting takes a folder below /tmp; on
+    a cluster executors could not read each other's, so it raises.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            if not spark.sparkContext.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            base = f"/tmp/quillon-{spark.sparkContext.applicationId}"
+        spark.sparkContext.setCheckpointDir(base)
+    return df.checkpoint()

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import average_ranks, joined, quantiles
+
 #: The 91 thresholds 0.05, 0.06 to 0.95.
 GRID = [round(0.05 + i * 0.01, 10) for i in range(91)]
 
@@ -97,19 +99,37 @@ def seed_stability(scores: DataFrame, score: str = "macro_f1") -> DataFrame:
 
 def describe(rows: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact interpolated quartiles and maximum."""
-    q = lambda p: F.round(F.percentile(column, p), 6)
-    return rows.groupBy(*(by or [])).agg(F.count(column).alias("n"), F.round(F.avg(column), 6).alias("mean"), F.round(F.stddev_samp(column), 6).alias("std"), F.min(column).alias("low"), q(0.25).alias("q25"), q(0.5).alias("q50"), q(0.75).alias("q75"), F.max(column).alias("high"))
-
-
-def average_rank(column: str, by: list[str] | None = None) -> Column:
-    """Rank in which equal values share their mean place."""
-    ordered = Window.partitionBy(*(by or [F.lit(0)])).orderBy(column)
-    same = Window.partitionBy(*(by or [F.lit(0)]), column)
-    return F.rank().over(ordered) + (F.count("*").over(same) - 1) / 2
+    by = by or []
+    base = rows.groupBy(*by).agg(F.count(column).alias("n"), F.round(F.avg(column), 6).alias("mean"), F.round(F.stddev_samp(column), 6).alias("std"), F.min(column).alias("low"), F.max(column).alias("high"))
+    quartiles = quantiles(rows, column, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, by).select(*by, *(F.round(q, 6).alias(q) for q in ("q25", "q50", "q75")))
+    both = joined(base, quartiles, by, "left") if by else base.join(quartiles, how="left")
+    return both.select(*by, "n", "mean", "std", "low", "q25", "q50", "q75", "high")
 
 
 def spearman(rows: DataFrame, a: str, b: str, by: list[str]) -> DataFrame:
     """Pearson and Spearman correlation per group, null below three rows."""
-    ranked = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull()).withColumns({"_a": average_rank(a, by), "_b": average_rank(b, by)})
+    ranked = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(*by, a, b)
+    for c, name in ((a, "_a"), (b, "_b")):
+        ranked = average_ranks(ranked, c, by, name)
     enough = F.count("*") >= 3
     return ranked.groupBy(*by).agg(F.count("*").alias("n"), F.when(enough, F.round(F.corr(a, b), 6)).alias("pearson"), F.when(enough, F.round(F.corr("_a", "_b"), 6)).alias("spearman"))
+
+
+def class_thresholds(rows: DataFrame, classes: list[str], label: str = "label", grid: tuple[float, ...] = (0.3, 0.4, 0.5, 0.6, 0.7)) -> DataFrame:
+    """(class, threshold, f1): per class, numbered as in ``classes``, the threshold of its best F1 against the rest, the lowest of equal ones."""
+    each = F.explode(F.array(*(F.struct(F.lit(i).alias("class"), F.lit(t).alias("threshold"), (F.col(c) >= t).alias("hit")) for i, c in enumerate(classes) for t in grid)))
+    counts = rows.select(label, each.alias("x")).groupBy("x.class", "x.threshold").agg(F.count_if(F.col("x.hit") & (F.col(label) == F.col("x.class"))).alias("tp"), F.count_if(F.col("x.hit")).alias("hits"), F.count_if(F.col(label) == F.col("x.class")).alias("true"))
+    scored = counts.withColumn("f1", F.round(_share(2 * F.col("tp"), F.col("hits") + F.col("true")), 6))
+    first = F.row_number().over(Window.partitionBy("class").orderBy(F.desc("f1"), F.asc("threshold")))
+    return scored.withColumn("_r", first).where("_r = 1").select("class", "threshold", "f1")
+
+
+def size_band(n: Column) -> Column:
+    """How likely a threshold fitted to ``n`` rows is fitted to their noise."""
+    return F.when(n < 100, "high").when(n < 500, "medium").otherwise("lower")
+
+
+def length_stats(rows: DataFrame, length: str, limit: int) -> DataFrame:
+    """One row: rows, mean, exact 95th percentile and maximum of a length, and the share of rows beyond ``limit``."""
+    base = rows.agg(F.count("*").alias("n_rows"), F.round(F.avg(length), 6).alias("mean"), F.max(length).alias("longest"), F.round(F.avg((F.col(length) > limit).cast("int")), 6).alias("truncation_rate"))
+    return base.join(quantiles(rows, length, {"p95": 0.95}).select(F.round("p95", 6).alias("p95")))

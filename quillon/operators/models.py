@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, HashingTF, Normalizer, VectorAssembler
+from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, HashingTF, Normalizer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors as MLVectors
 from pyspark.mllib.linalg import Vectors
@@ -61,10 +62,35 @@ def out_of_fold(rows: DataFrame, pipeline: Pipeline, folds: int, key: str = "id"
     return reduce(DataFrame.unionByName, parts).withColumn("model_name", F.lit(model))
 
 
+def fitted_logistic(rows: DataFrame, columns: list[str], label: str = "label") -> Callable[[DataFrame], DataFrame]:
+    """A class-balanced logistic model of numeric columns; the result adds its probability as ``proba`` to a table.
+
+    Rows of one class alone give that class to every row.
+    """
+    classes = [r[0] for r in rows.select(label).distinct().collect()]
+    if len(classes) < 2:
+        share = float(classes[0]) if classes else 0.0
+        return lambda df: df.withColumn("proba", F.lit(share))
+    stages = [VectorAssembler(inputCols=columns, outputCol="_features", handleInvalid="keep"), StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True), LogisticRegression(featuresCol="_scaled", labelCol=label, weightCol="weight", maxIter=50)]
+    model = Pipeline(stages=stages).fit(balanced_weights(rows, label))
+    made = ("_features", "_scaled", "rawPrediction", "probability", "prediction")
+    return lambda df: model.transform(df).withColumn("proba", F.round(vector_to_array("probability")[1], 6)).drop(*made)
+
+
+def stacked(wide: DataFrame, models: list[str], folds: int, fold: str = "fold", label: str = "label") -> DataFrame:
+    """Adds ``stacked``: a logistic model over the models' scores, each fold scored by one of the other folds."""
+    parts = [fitted_logistic(wide.where(F.col(fold) != f), models, label)(wide.where(F.col(fold) == f)).withColumnRenamed("proba", "stacked") for f in range(folds)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def text_terms(rows: DataFrame, query: str = "query", item: str = "title") -> DataFrame:
     """Adds ``terms``: uni- and bigrams of query, item and their pair, told apart by a prefix."""
     pair = F.concat_ws(" [SEP] ", F.col(query), F.col(item))
-    marked = [F.transform(unigrams_bigrams(c), lambda t, p=p: F.concat(F.lit(p), t)) for p, c in (("q ", F.col(query)), ("i ", F.col(item)), ("p ", pair))]
+
+    def led_by(mark: str):
+        return lambda t: F.concat(F.lit(mark), t)
+
+    marked = [F.transform(unigrams_bigrams(c), led_by(p)) for p, c in (("q ", F.col(query)), ("i ", F.col(item)), ("p ", pair))]
     return rows.withColumn("terms", F.concat(*marked))
 
 

@@ -23,9 +23,15 @@ def query_terms(queries: DataFrame, query_id: str, text: str, tokenize=retrieval
     return queries.select(query_id, F.explode(tokenize(F.col(text))).alias("term")).groupBy(query_id, "term").agg(F.count("*").alias("qtf"))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows, dealt over all cores where they lie in fewer partitions, for work that costs more than moving them."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def postings(docs: DataFrame, doc_id: str, text: str, terms: DataFrame | None = None, tokenize=retrieval_tokens) -> DataFrame:
     """(doc, dl, term, tf); only of ``terms`` if given, which keeps all other tokens out of the shuffle."""
-    tokens = docs.select(doc_id, tokenize(F.col(text)).alias("t"))
+    tokens = spread(docs.select(doc_id, text)).select(doc_id, tokenize(F.col(text)).alias("t"))
     flat = tokens.select(doc_id, F.size("t").alias("dl"), F.explode("t").alias("term"))
     if terms is not None:
         flat = flat.join(terms.select("term").distinct(), "term", "left_semi")
@@ -33,19 +39,35 @@ def postings(docs: DataFrame, doc_id: str, text: str, terms: DataFrame | None =
 
 
 def corpus_stats(docs: DataFrame, text: str) -> tuple[int, float]:
-    row = docs.agg(F.count("*").alias("n"), F.avg(F.size(retrieval_tokens(F.col(text)))).alias("avgdl")).first()
+    row = spread(docs.select(text)).agg(F.count("*").alias("n"), F.avg(F.size(retrieval_tokens(F.col(text)))).alias("avgdl")).first()
     return row.n, row.avgdl or 0.0
 
 
+def _asked_postings(docs: DataFrame, doc_id: str, text: str, asked: DataFrame) -> tuple[DataFrame, int, float]:
+    """Postings of the asked terms, the number of rows and their mean length, from one reading of the texts.
+
+    Tokens that no query asks for are counted per document under a null term,
+    so the shuffle carries one row more per document than the asked terms take.
+    """
+    tokens = spread(docs.select(doc_id, text)).select(doc_id, retrieval_tokens(F.col(text)).alias("t"))
+    flat = tokens.select(doc_id, F.size("t").alias("dl"), F.explode_outer("t").alias("token"))
+    known = asked.select("term").distinct()
+    marked = flat.join(known, flat["token"] == known["term"], "left").groupBy(doc_id, "dl", "term").agg(F.count("*").alias("tf"), F.count("token").alias("tokens"))
+    kept = marked.persist()
+    length = kept.agg(F.sum("tokens").alias("s")).first().s or 0
+    n = docs.count()
+    return kept.where("term IS NOT NULL").select(doc_id, "dl", "term", "tf"), n, length / n if n else 0.0
+
+
 def bm25_scores(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query: str, k1: float = 1.5, b: float = 0.75) -> DataFrame:
     """(query, doc, bm25) of all documents that share a term with the query; a repeated query term counts repeatedly."""
-    n, avgdl = corpus_stats(docs, text)
     asked = query_terms(queries, query_id, query)
-    p = postings(docs, doc_id, text, asked)
+    p, n, avgdl = _asked_postings(docs, doc_id, text, asked)
     df = p.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / (avgdl or 1.0)))
-    return p.join(df, "term").join(asked, "term").groupBy(query_id, doc_id).agg(F.sum(weight * F.col("qtf")).alias("bm25"))
+    # the asked terms with their weights are as many as the queries have, and meet the postings where these lie if they are few
+    return p.join(asked.join(df, "term"), "term").groupBy(query_id, doc_id).agg(F.sum(weight * F.col("qtf")).alias("bm25"))
 
 
 def bm25_search(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query: str, k: int, excluded: DataFrame | None = None, places: int = 6) -> DataFrame:
@@ -66,7 +88,7 @@ def unigrams_bigrams(c: Column) -> Column:
 def tfidf_cosine(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query: str) -> DataFrame:
     """(query, doc, cosine) with weights tf * (ln((1 + n) / (1 + df)) + 1) fitted on the documents."""
     n = docs.count()
-    p = postings(docs, doc_id, text, tokenize=unigrams_bigrams)
+    p = postings(docs, doc_id, text, tokenize=unigrams_bigrams).persist()
     idf = p.groupBy("term").agg((F.log((1 + n) / (1 + F.count("*"))) + 1).alias("idf"))
     weighted = p.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
     norm = weighted.groupBy(doc_id).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
@@ -162,6 +184,48 @@ def business_boost(score: Column, brand: Column, gender: Column, color: Column,
     return F.when(in_stock, score * factor * (1 + 0.1 * F.coalesce(popularity, F.lit(0.0)))).otherwise(0.0)
 
 
+def tfidf_search(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query: str, k: int, places: int = 6) -> DataFrame:
+    """(query, doc, score, rank): top documents by TF-IDF cosine rounded to ``places``, ties to the smaller id."""
+    scored = tfidf_cosine(docs, queries, doc_id, text, query_id, query).select(query_id, doc_id, F.round("cosine", places).alias("score"))
+    return top_k(scored, query_id, [F.desc("score"), F.asc(doc_id)], k)
+
+
+def search_pipeline(lists: list[DataFrame], rerank: DataFrame, boost: Column, query: str, item: str, k: int, depth: int = 300) -> DataFrame:
+    """(query, item, score, rank): lists fused to ``depth`` hits, the best 2 * k of them by the reranker, the best k of these after boosts.
+
+    ``rerank`` takes a hit to ``rerank_score`` and the columns that ``boost``, a
+    factor, reads; a hit that it does not know is dropped.
+    """
+    fused = reciprocal_rank_fusion(lists, query, item, depth).select(query, item)
+    best = top_k(fused.join(rerank, [query, item]), query, [F.desc("rerank_score"), F.asc(item)], 2 * k, "_place")
+    boosted = best.withColumn("score", F.round(F.col("rerank_score") * boost, 6))
+    return top_k(boosted.select(query, item, "score"), query, [F.desc("score"), F.asc(item)], k)
+
+
+def attribute_pool(queries: DataFrame, items: DataFrame, kinds: dict[str, tuple[str, str]], query: str, item: str, k: int) -> DataFrame:
+    """(query, item, score, rank): items that share most kinds of values with a query, ties to the smaller id.
+
+    ``kinds`` names for each kind the column of the query's and of the item's
+    values, both joined by ``|``.  Items of the same values count as one until
+    the end, so a common value is not joined item by item.
+    """
+    values = lambda c: F.filter(F.split(F.coalesce(F.col(c), F.lit("")), r"\|"), lambda v: v != "")
+
+    def named(kind: str):
+        return lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value"))
+
+    def long(df: DataFrame, key: str, side: int) -> DataFrame:
+        each = F.flatten(F.array(*(F.transform(values(c[side]), named(kind)) for kind, c in kinds.items())))
+        return df.select(key, F.explode(each).alias("x")).select(key, "x.*").distinct()
+
+    own = [c[1] for c in kinds.values()]
+    packed = items.select(item, F.concat_ws("\x01", *(F.coalesce(F.col(c), F.lit("")) for c in own)).alias("_set"), *own)
+    sets = packed.select("_set", *own).distinct()
+    met = long(queries, query, 0).join(long(sets, "_set", 1), ["kind", "value"]).groupBy(query, "_set").agg(F.count_distinct("kind").cast("double").alias("score"))
+    first = packed.select("_set", item, F.row_number().over(Window.partitionBy("_set").orderBy(item)).alias("_r")).where(F.col("_r") <= k).drop("_r")
+    return top_k(met.join(first, "_set").select(query, item, "score"), query, [F.desc("score"), F.asc(item)], k)
+
+
 def same_value_pool(queries: DataFrame, items: DataFrame, column: str, query: str, item: str, k: int) -> DataFrame:
     """The first ``k`` items per query that share ``column`` with it, by item id, score 1."""
     values = items.select(column, item).withColumn("place", F.row_number().over(Window.partitionBy(column).orderBy(item))).where(F.col("place") <= k)

@@ -43,6 +43,30 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
             "CAST((c_custkey * 17) % 100 AS double) / 100 AS threshold", "CASE WHEN c_custkey % 9 = 0 THEN 1 ELSE 0 END AS threshold_fragile", "CAST(c_custkey % 20 AS double) / 1000 AS seed_std", "c_nationkey AS splitter",
         ),
     ),
+    "experiments": (
+        "customer",
+        (
+            "c_custkey AS ord", "CAST(c_custkey AS varchar(12)) AS experiment_id",
+            "concat(CASE c_custkey % 8 WHEN 0 THEN 'tabular-lgb' WHEN 1 THEN 'ce_best' WHEN 2 THEN 'blend' WHEN 3 THEN 'sklearn_text' WHEN 4 THEN 'Dense' WHEN 5 THEN 'retrieval' WHEN 6 THEN 'a+b' ELSE 'misc' END, '-', CAST(c_nationkey AS varchar(10))) AS experiment_name",
+            "CASE c_nationkey % 3 WHEN 0 THEN 'term_group' WHEN 1 THEN 'query_group' END AS validation_version",
+            "CASE WHEN c_custkey % 17 = 0 THEN 'none' ELSE CAST(CAST((c_custkey * 17) % 100 AS double) / 100 AS varchar(12)) END AS best_threshold",
+            "CASE WHEN c_custkey % 13 = 0 THEN '' ELSE CAST(CAST((c_custkey * 37) % 1000 AS double) / 1000 AS varchar(12)) END AS oof_macro_f1",
+            "CAST((c_custkey * 71) % 1000 AS double) / 1000 AS class0_f1", "CAST((c_custkey * 29) % 1000 AS double) / 1000 AS class1_f1",
+            "CASE c_custkey % 9 WHEN 0 THEN 'True' WHEN 1 THEN '' ELSE 'False' END AS threshold_fragile",
+            "CAST(c_custkey % 20 AS double) / 1000 AS seed_std", "CASE WHEN c_custkey % 4 = 0 THEN CAST((c_custkey * 53) % 1000 AS double) / 1000 END AS public_lb_score",
+            "CASE c_custkey % 6 WHEN 0 THEN 'public only' WHEN 1 THEN 'by fold' WHEN 2 THEN '' END AS submission_note",
+            "CASE c_custkey % 5 WHEN 0 THEN 'feature' WHEN 1 THEN 'negative' WHEN 2 THEN 'retrieval' ELSE 'dense' END AS category",
+            "CASE c_custkey % 7 WHEN 0 THEN 'dense pool' WHEN 1 THEN 'retrieval top k' ELSE 'none' END AS changed_component", "CASE WHEN c_custkey % 11 = 0 THEN 'not_run' ELSE 'completed' END AS status",
+        ),
+    ),
+    "submissions": (
+        "orders",
+        (
+            "CAST(o_custkey AS varchar(12)) AS experiment_id", "CAST(CAST(o_orderdate AS date) AS varchar(12)) AS submission_timestamp", "concat('s', CAST(o_orderkey AS varchar(12)), '.csv') AS file_path",
+            "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST((o_orderkey * 53) % 1000 AS double) / 1000 END AS public_lb_score", "CASE o_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'family_A' END AS chosen_family_label",
+            "CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN 'sent late' END AS submission_notes", "o_orderkey % 7 = 0 AS manual",
+        ),
+    ),
 }
 
 #: Expressions over labels joined with documents.

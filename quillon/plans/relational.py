@@ -10,6 +10,7 @@ from quillon.functions.attributes import category_parts, key_values, leaf_catego
 from quillon.functions.intent import add_query_intent, dictionaries_of, query_intent, segment
 from quillon.operators import features, forensics, item_text, joins, negatives
 from quillon.operators import retrieval as R
+from quillon.operators.joins import cut
 from quillon.sources.contracts import CONTRACTS, violations
 
 from .catalog import Registry, cte, source, view
@@ -400,20 +401,89 @@ def quota_selection(spark, d):
     return rows.groupBy("term_id").agg(F.count("*").alias("seen"), F.count_if(F.col("id") % 3 != 0).alias("taken"))
 
 
+def mined(spark: SparkSession, d: str, depth: int = 30) -> DataFrame:
+    """Candidates of all pools that were looked at, with their decisions, and which of them the quotas took."""
+    items, asked, terms = _searched(spark, d)
+    # what all pools read is computed once
+    items, intents = cut(items), cut(query_intent(view(spark, d, "terms")))
+    positives = view(spark, d, "pairs").where("label = 1")
+    of_terms = lambda hits: cut(hits.join(terms, "asked").select("term_id", "item_id", "score"))
+    cosine = R.tfidf_cosine(items, asked, "item_id", "text", "asked", "query").select("asked", "item_id", F.round("cosine", 6).alias("score"))
+    dense = R.latent_search(items, asked, "item_id", "text", "asked", "query", depth)
+    found = negatives.pool_candidates(intents, items, positives, of_terms(cosine), of_terms(dense), depth)
+    # quotas follow the number of a term's positives
+    size = positives.groupBy("term_id").agg(F.count("*").alias("n_pos"))
+    decided = cut(negatives.decided(found).join(size, "term_id"))
+    quotas = {pool: F.col("n_pos") for _, pool in negatives.POOLS}
+    return negatives.mine_by_pools(decided, quotas, "term_id", "item_id", "pool", [F.md5(F.concat_ws(":", "pool", "item_id")), F.col("item_id")], F.col("accepted"))
+
+
 @query()
 def mined_negatives(spark, d):
-    """Negatives of three pools under quotas: per pool how many were looked at and taken."""
-    items = view(spark, d, "items")
-    terms = view(spark, d, "terms").select("term_id")
-    keyed = items.select("item_id", "category", "brand", F.pmod(F.xxhash64("item_id"), F.lit(50)).alias("cell"))
-    ring = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("step")
-    near = terms.select("term_id", ring).withColumn("cell", F.pmod(F.xxhash64("term_id", "step"), F.lit(50))).join(keyed, "cell")
-    pool = F.when(F.col("step") == 0, "lexical_nearest_pool").when(F.col("step") == 1, "category_filtered_pool").otherwise("random_far_pool")
-    candidates = near.withColumn("pool", pool).dropDuplicates(["term_id", "item_id", "pool"])
-    known = view(spark, d, "pairs").where("label = 1").select("term_id", "item_id").distinct()
-    candidates = candidates.join(known, ["term_id", "item_id"], "left_anti")
-    mined = negatives.mine_by_pools(candidates, {"lexical_nearest_pool": 3, "category_filtered_pool": 2, "random_far_pool": 2}, "term_id", "item_id", "pool", [F.md5(F.col("item_id").cast("string"))], F.col("item_id") % 4 != 0)
-    return mined.groupBy("pool").agg(F.count("*").alias("seen"), F.sum("selected").alias("taken"))
+    """Negatives of the six pools under quotas: per pool and status how many were looked at and taken."""
+    return mined(spark, d).groupBy("pool", "status").agg(F.count("*").alias("seen"), F.sum("selected").alias("taken"), F.round(F.avg("hardness"), 4).alias("hardness"))
+
+
+@query()
+def semantic_confusers(spark, d):
+    """The first thirty dense candidates of the miner, selected or not, with their subtype."""
+    return negatives.confuser_report(mined(spark, d)).select("bucket", "term_id", "item_id", "subtype", "status", F.round("dense_score", 4).alias("dense_score"), "lexical_score", F.array_join("reasons", "|").alias("reasons"))
+
+
+_SIGNALS = "CAST((id * 17) % 100 AS double) / 100 AS dense, CASE WHEN id % 7 = 0 THEN NULL ELSE CAST((id * 31) % 100 AS double) / 100 END AS lex, id % 3 = 0 AS cat, id % 4 = 0 AS brand, CAST(id % 5 % 2 AS int) AS c"
+
+
+@query(cte("pairs") + f""", s AS (SELECT {_SIGNALS} FROM pairs) SELECT CASE WHEN cat THEN CASE WHEN c > 0 THEN 'dense_attribute_near_miss' ELSE 'dense_same_category_hard' END WHEN brand THEN 'dense_same_brand_hard'
+WHEN dense >= 0.5 AND coalesce(lex, 0) < 0.2 THEN 'dense_semantic_confuser' ELSE 'dense_hard' END AS subtype, count(*) AS n FROM s GROUP BY 1""")
+def dense_subtypes(spark, d):
+    s = view(spark, d, "pairs").selectExpr("CAST((id * 17) % 100 AS double) / 100 AS dense", "CASE WHEN id % 7 = 0 THEN NULL ELSE CAST((id * 31) % 100 AS double) / 100 END AS lex", "id % 3 = 0 AS cat", "id % 4 = 0 AS brand", "CAST(id % 5 % 2 AS int) AS c")
+    return s.groupBy(negatives.dense_subtype(F.col("dense"), F.col("lex"), F.col("cat"), F.col("brand"), F.col("c")).alias("subtype")).agg(F.count("*").alias("n"))
+
+
+@query(WIDE + """, p AS (SELECT term_id, query, min(id) AS first_id, count(*) AS n FROM wide GROUP BY 1, 2), x AS (SELECT id, query, label FROM wide WHERE label = 1)
+SELECT p.term_id, count(*) AS n_rows, count(x.id) AS matched FROM p LEFT JOIN x ON x.query = p.query GROUP BY 1""")
+def predictions_by_query(spark, d):
+    """Predictions joined to the truth by query text, many to many: terms of one query meet each other's rows."""
+    wide = _wide(spark, d)
+    predictions = wide.groupBy("term_id", "query").agg(F.min("id").alias("first_id"))
+    truth = wide.where("label = 1").select("id", F.col("query").alias("asked"))
+    # summed per query before the join, so that a hot query is one row of the truth
+    sizes = truth.groupBy("asked").agg(F.count("*").alias("hits"))
+    both = predictions.join(sizes, F.col("query") == F.col("asked"), "left").withColumn("hits", F.coalesce("hits", F.lit(0)))
+    return both.groupBy("term_id").agg(F.sum(F.greatest("hits", F.lit(1))).alias("n_rows"), F.sum("hits").alias("matched"))
+
+
+@query(WIDE + """, train AS (SELECT * FROM wide WHERE id % 3 <> 0), test AS (SELECT * FROM wide WHERE id % 3 = 0), u AS (SELECT DISTINCT item_id, brand, category FROM test ANTI JOIN train USING (item_id))
+SELECT count(*) AS unknown_items, count(k.seen) AS of_known_kind FROM u LEFT JOIN (SELECT DISTINCT brand, category, 1 AS seen FROM train) k USING (brand, category)""")
+def unknown_items_by_kind(spark, d):
+    """Items that only the test side has, and how many share brand and category with an item of the training side."""
+    wide = _wide(spark, d)
+    train, test = wide.where("id % 3 <> 0"), wide.where("id % 3 = 0")
+    unknown = test.select("item_id", "brand", "category").distinct().join(train.select("item_id").distinct(), "item_id", "left_anti")
+    kinds = train.select("brand", "category").distinct().withColumn("seen", F.lit(1))
+    return unknown.join(kinds, ["brand", "category"], "left").agg(F.count("*").alias("unknown_items"), F.count("seen").alias("of_known_kind"))
+
+
+@query(WIDE + ", p AS (SELECT * FROM wide WHERE label = 1) SELECT term_id, min_by(query, id) AS query, count(DISTINCT category) AS n_categories, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list_distinct(list(brand))), '|') AS brands FROM p GROUP BY 1")
+def term_profiles(spark, d):
+    """The first query of each term and the sets of its positives."""
+    p = _wide(spark, d).where("label = 1")
+    return p.groupBy("term_id").agg(F.min_by("query", "id").alias("query"), F.count_distinct("category").alias("n_categories"), F.count_distinct("item_id").alias("n_items"), F.array_join(F.array_sort(F.collect_set("brand")), "|").alias("brands"))
+
+
+@query(WIDE + """, n AS (SELECT len(regexp_extract_all(concat_ws(' ', query, title, brand, category), '[^ ]+')) AS k FROM wide)
+SELECT count(*) AS n_rows, round(avg(k), 6) AS mean, max(k) AS longest, round(avg(CAST(k > 9 AS int)), 6) AS truncation_rate, round(quantile_cont(k, 0.95), 6) AS p95 FROM n""")
+def pair_text_lengths(spark, d):
+    from quillon.operators.metrics import length_stats
+
+    words = F.size(F.regexp_extract_all(F.concat_ws(" ", "query", "title", "brand", "category"), F.lit("[^ ]+"), F.lit(0)))
+    return length_stats(_wide(spark, d).select(words.alias("k")), "k", 9)
+
+
+@query("SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'P0' WHEN 1 THEN 'P1' WHEN 2 THEN 'P2' ELSE 'P3' END AS priority, CASE c_nationkey % 3 WHEN 0 THEN 'red' WHEN 1 THEN 'yellow' ELSE 'green' END AS status FROM customer ORDER BY c_custkey % 4, c_nationkey % 3, c_custkey LIMIT 10")
+def top_risks(spark, d):
+    rows = source(spark, d, "customer").selectExpr("c_custkey", "CASE c_custkey % 4 WHEN 0 THEN 'P0' WHEN 1 THEN 'P1' WHEN 2 THEN 'P2' ELSE 'P3' END AS priority", "CASE c_nationkey % 3 WHEN 0 THEN 'red' WHEN 1 THEN 'yellow' ELSE 'green' END AS status")
+    return joins.first_by_names(rows, {"priority": ["P0", "P1", "P2", "P3"], "status": ["red", "yellow", "green"]}, ["c_custkey"], 10)
 
 
 @query()

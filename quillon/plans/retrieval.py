@@ -51,55 +51,55 @@ def bm25_corpus_stats(spark, d):
 
 
 _VECTORS = cte("vectors") + """, e AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS double)) AS v FROM vectors WHERE embedding IS NOT NULL),
-p AS (SELECT q.vec_id AS query, i.vec_id AS item, round(list_sum(list_transform(list_zip(q.v, i.v), lambda z: z[1] * z[2])), 6) AS score FROM e q, e i WHERE q.vec_id % 25 = 0)"""
+p AS (SELECT q.vec_id AS query, i.vec_id AS item, round(list_sum(list_transform(list_zip(q.v, i.v), lambda z: z[1] * z[2])), 6) AS score FROM e q, e i WHERE q.vec_id % 20 = 0)"""
 
 
 @query(_VECTORS + f" SELECT query, item, score, CAST(rank AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, item) AS rank FROM p) WHERE rank <= {K}")
 def dense_topk(spark, d):
     v = view(spark, d, "vectors")
-    return R.dense_search(v, v.where("vec_id % 25 = 0"), K, "vec_id", "vec_id", "embedding")
+    return R.dense_search(v, v.where("vec_id % 20 = 0"), K, "vec_id", "vec_id", "embedding")
 
 
 @query(_VECTORS + f" SELECT query, item, score, CAST(rank AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, item) AS rank FROM p WHERE query <> item) WHERE rank <= {K}")
 def dense_excluding_self(spark, d):
     v = view(spark, d, "vectors")
-    return R.dense_search(v, v.where("vec_id % 25 = 0"), K, "vec_id", "vec_id", "embedding", skip_same_id=True)
+    return R.dense_search(v, v.where("vec_id % 20 = 0"), K, "vec_id", "vec_id", "embedding", skip_same_id=True)
 
 
-#: The pairs of the stated query set, every twentieth vector; the two queries above and their SQL take every 25th.
-_STATED = _VECTORS.replace("q.vec_id % 25 = 0", "q.vec_id % 20 = 0")
+for _name in ("dense_topk", "dense_excluding_self"):
+    query.queries[f"{_name}_full"], query.sql[f"{_name}_full"] = query.queries[_name], query.sql[_name]
 
 
-@query(_STATED + f" SELECT query, item, score, CAST(rank AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, item) AS rank FROM p) WHERE rank <= {K}")
-def dense_topk_full(spark, d):
-    v = view(spark, d, "vectors")
-    return R.dense_search(v, v.where("vec_id % 20 = 0"), K, "vec_id", "vec_id", "embedding")
+_TFIDF_TERMS = r"regexp_extract_all(lower(coalesce({0}, '')), '[\p{{L}}\p{{N}}_]{{2,}}')"
+_TFIDF = f"""n AS (SELECT count(*) AS n FROM docs), dt AS (SELECT doc_id, {_TFIDF_TERMS.format("text")} AS t FROM docs), qt AS (SELECT question_id, {_TFIDF_TERMS.format("question")} AS t FROM questions),
+tp AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term FROM dt) GROUP BY ALL),
+idf AS (SELECT term, ln((1 + n) / (1 + count(*))) + 1 AS idf FROM tp, n GROUP BY term, n), w AS (SELECT doc_id, term, tf * idf AS w FROM tp JOIN idf USING (term)), nd AS (SELECT doc_id, sqrt(sum(w * w)) AS nd FROM w GROUP BY 1),
+tq AS (SELECT question_id, term, count(*) AS qtf FROM (SELECT question_id, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term FROM qt) GROUP BY ALL),
+qw AS (SELECT question_id, term, qtf * idf AS qw FROM tq JOIN idf USING (term)), nq AS (SELECT question_id, sqrt(sum(qw * qw)) AS nq FROM qw GROUP BY 1),
+c AS (SELECT question_id, doc_id, round(sum(w * qw) / (nd * nq), 6) AS cosine FROM w JOIN qw USING (term) JOIN nd USING (doc_id) JOIN nq USING (question_id) GROUP BY question_id, doc_id, nd, nq),
+tf AS (SELECT question_id, doc_id, cosine, CAST(row_number() OVER (PARTITION BY question_id ORDER BY cosine DESC, doc_id) AS int) AS rank FROM c)"""
 
 
-@query(_STATED + f" SELECT query, item, score, CAST(rank AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, item) AS rank FROM p WHERE query <> item) WHERE rank <= {K}")
-def dense_excluding_self_full(spark, d):
-    v = view(spark, d, "vectors")
-    return R.dense_search(v, v.where("vec_id % 20 = 0"), K, "vec_id", "vec_id", "embedding", skip_same_id=True)
+@query(cte("questions", "docs") + f", {_TFIDF} SELECT * FROM tf WHERE rank <= 5")
+def tfidf_cosine_topk(spark, d):
+    found = R.tfidf_search(view(spark, d, "docs"), view(spark, d, "questions"), "doc_id", "text", "question_id", "question", 5)
+    return found.select("question_id", "doc_id", F.col("score").alias("cosine"), "rank")
+
 
+query.queries["tfidf_cosine_full"], query.sql["tfidf_cosine_full"] = tfidf_cosine_topk, query.sql["tfidf_cosine_topk"]
 
-_PSEUDO_DENSE = f"""dn AS (SELECT question_id, doc_id, dense_score, CAST(row_number() OVER (PARTITION BY question_id ORDER BY dense_score DESC, doc_id) AS int) AS rank FROM
-  (SELECT question_id, doc_id, CAST((question_id * 7919 + doc_id * 104729) % 1000 AS double) / 1000 AS dense_score FROM questions JOIN docs ON doc_id % 10 = question_id % 10)),
-b AS (SELECT * FROM bm WHERE rank <= {K}), dd AS (SELECT * FROM dn WHERE rank <= {K})"""
+#: Hits of both retrievers: BM25, and cosines of TF-IDF vectors, which SQL can repeat; ``_latent_hits`` takes the latent vectors instead.
+_VECTOR_HITS = f"""{_TFIDF.replace("n AS (SELECT count(*) AS n FROM docs), ", "")}, b AS (SELECT * FROM bm WHERE rank <= {K}), dd AS (SELECT question_id, doc_id, cosine AS dense_score, rank FROM tf WHERE rank <= {K})"""
 
 
 def _hits(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """BM25 hits, and hits of a stand-in for a dense retriever whose scores SQL can repeat; ``_latent_hits`` has the real one."""
-    bm = _bm25(spark, d).withColumnRenamed("bm25", "score")
-    q = view(spark, d, "questions").select("question_id", (F.col("question_id") % 10).alias("m"))
-    docs = view(spark, d, "docs").select("doc_id", (F.col("doc_id") % 10).alias("m"))
-    score = (F.col("question_id") * 7919 + F.col("doc_id") * 104729) % 1000
-    dense = R.top_k(q.join(docs, "m").select("question_id", "doc_id", (score.cast("double") / 1000).alias("score")), "question_id", [F.desc("score"), F.asc("doc_id")], K)
-    return bm.select("question_id", "doc_id", "score", "rank"), dense
+    bm = _bm25(spark, d).withColumnRenamed("bm25", "score").select("question_id", "doc_id", "score", "rank").persist()
+    return bm, R.tfidf_search(view(spark, d, "docs"), view(spark, d, "questions"), "doc_id", "text", "question_id", "question", K).persist()
 
 
 @query(
     _BM25
-    + f""", {_PSEUDO_DENSE}, h AS (SELECT question_id, doc_id, coalesce(bm25, 0) AS bm25_score, coalesce(b.rank, 0) AS bm25_rank, coalesce(dense_score, 0) AS dense_score, coalesce(dd.rank, 0) AS dense_rank FROM b FULL JOIN dd USING (question_id, doc_id)),
+    + f""", {_VECTOR_HITS}, h AS (SELECT question_id, doc_id, coalesce(bm25, 0) AS bm25_score, coalesce(b.rank, 0) AS bm25_rank, coalesce(dense_score, 0) AS dense_score, coalesce(dd.rank, 0) AS dense_rank FROM b FULL JOIN dd USING (question_id, doc_id)),
 r AS (SELECT *, round(bm25_score + dense_score, 6) AS hybrid FROM h) SELECT question_id, doc_id, bm25_score, bm25_rank, dense_score, dense_rank, hybrid, CAST(rank AS int) AS rank
 FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY hybrid DESC, dense_score DESC, doc_id) AS rank FROM r) WHERE rank <= {K}"""
 )
@@ -107,9 +107,32 @@ def hybrid_search(spark, d):
     return R.hybrid(*_hits(spark, d), "question_id", "doc_id", K)
 
 
+_FUSED = f""", f AS (SELECT question_id, doc_id, round(sum(1.0 / (59 + rank)), 9) AS rrf FROM (SELECT question_id, doc_id, rank FROM b UNION ALL SELECT question_id, doc_id, rank FROM dd) GROUP BY ALL),
+fr AS (SELECT question_id, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY rrf DESC, doc_id) AS r FROM f) WHERE r <= 300)"""
+
+
+@query(
+    _BM25
+    + f""", {_VECTOR_HITS}{_FUSED}, hit AS (SELECT question_id, doc_id, round(coalesce(bm25, 0) / 100 + coalesce(cosine, 0), 6) AS rs, n_chars, lang FROM fr LEFT JOIN bm USING (question_id, doc_id) LEFT JOIN c USING (question_id, doc_id) JOIN docs USING (doc_id)),
+kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY rs DESC, doc_id) AS r FROM hit) WHERE r <= 10), x AS (SELECT question_id, doc_id, round(CASE WHEN doc_id % 7 = 0 THEN 0 ELSE rs * CASE WHEN lang = 'en' THEN 1.15 ELSE 1.0 END * (1 + 0.1 * CAST(n_chars % 10 AS double) / 10) END, 6) AS score FROM kept)
+SELECT question_id, doc_id, CAST(score AS double) AS score, CAST(rank AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, doc_id) AS rank FROM x) WHERE rank <= 5"""
+)
+def search_pipeline(spark, d):
+    """Fusion, reranking by both scores together, and boosts for a language and a popularity; documents out of stock score 0."""
+    bm, dense = _hits(spark, d)
+    docs, asked = view(spark, d, "docs"), view(spark, d, "questions")
+    args = docs, asked, "doc_id", "text", "question_id", "question"
+    lexical = R.bm25_scores(*args).select("question_id", "doc_id", F.round("bm25", 6).alias("bm25"))
+    cosine = R.tfidf_cosine(*args).select("question_id", "doc_id", F.round("cosine", 6).alias("cosine"))
+    found = bm.select("question_id", "doc_id").union(dense.select("question_id", "doc_id")).distinct().join(lexical, ["question_id", "doc_id"], "left").join(cosine, ["question_id", "doc_id"], "left").join(docs.select("doc_id", "lang", "n_chars"), "doc_id")
+    scored = found.withColumn("rerank_score", F.round(F.coalesce(F.col("bm25"), F.lit(0.0)) / 100 + F.coalesce(F.col("cosine"), F.lit(0.0)), 6))
+    boost = R.business_boost(F.lit(1.0), F.lit(False), F.col("lang") == "en", F.lit(False), (F.col("n_chars") % 10).cast("double") / 10, F.col("doc_id") % 7 != 0)
+    return R.search_pipeline([bm, dense], scored, boost, "question_id", "doc_id", 5)
+
+
 @query(
     _BM25
-    + f""", {_PSEUDO_DENSE}, f AS (SELECT question_id, doc_id, round(sum(1.0 / (59 + rank)), 9) AS rrf FROM (SELECT question_id, doc_id, rank FROM b UNION ALL SELECT question_id, doc_id, rank FROM dd) GROUP BY ALL)
+    + f""", {_VECTOR_HITS}, f AS (SELECT question_id, doc_id, round(sum(1.0 / (59 + rank)), 9) AS rrf FROM (SELECT question_id, doc_id, rank FROM b UNION ALL SELECT question_id, doc_id, rank FROM dd) GROUP BY ALL)
 SELECT question_id, doc_id, CAST(rrf AS double) AS rrf, CAST(rank AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY rrf DESC, doc_id) AS rank FROM f) WHERE rank <= {K}"""
 )
 def rrf_fusion(spark, d):
@@ -118,7 +141,7 @@ def rrf_fusion(spark, d):
 
 @query(
     _BM25
-    + f""", {_PSEUDO_DENSE}, h AS (SELECT question_id, doc_id, b.rank AS br, dd.rank AS dr FROM b FULL JOIN dd USING (question_id, doc_id)), x AS (SELECT h.*, docs.lang AS ic, question_id % 4 AS m FROM h JOIN docs USING (doc_id))
+    + f""", {_VECTOR_HITS}, h AS (SELECT question_id, doc_id, b.rank AS br, dd.rank AS dr FROM b FULL JOIN dd USING (question_id, doc_id)), x AS (SELECT h.*, docs.lang AS ic, question_id % 4 AS m FROM h JOIN docs USING (doc_id))
 SELECT question_id, count(br) AS bm25_hits, count(dr) AS dense_hits, count_if(br IS NOT NULL AND dr IS NOT NULL) AS overlap, count(*) AS in_either, count_if(br IS NULL) AS dense_only,
   round(avg(CASE WHEN dr IS NOT NULL THEN CAST(ic = CASE m WHEN 0 THEN 'en' WHEN 1 THEN 'de' WHEN 2 THEN 'fr' ELSE 'es' END AS int) END), 6) AS dense_category_rate,
   round(CAST(count_if(br IS NOT NULL AND dr IS NOT NULL) AS double) / count(*), 6) AS jaccard FROM x GROUP BY 1"""
@@ -156,42 +179,27 @@ def retrieval_eval_overlap_latent(spark, d):
     return R.evaluate_retrieval(bm, dense, items, queries, "question_id", "doc_id")
 
 
-_TFIDF_TERMS = r"regexp_extract_all(lower(coalesce({0}, '')), '[\p{{L}}\p{{N}}_]{{2,}}')"
+@query(cte("items", "terms") + """, q AS (SELECT term_id, concat('Brand#', term_id % 25 + 1) AS brand FROM terms), r AS (SELECT brand, item_id, row_number() OVER (PARTITION BY brand ORDER BY item_id) AS place FROM items)
+SELECT term_id, item_id, brand, CAST(place AS int) AS rank, CAST(1 AS double) AS score FROM q JOIN r USING (brand) WHERE place <= 5""")
+def brand_pool(spark, d):
+    queries = view(spark, d, "terms").selectExpr("term_id", "concat('Brand#', term_id % 25 + 1) AS brand")
+    return R.same_value_pool(queries, view(spark, d, "items"), "brand", "term_id", "item_id", 5)
 
 
-def _grams(c: str) -> str:
-    t = _TFIDF_TERMS.format(c)
-    return f"list_concat({t}, list_transform(range(1, len({t})), lambda i: {t}[i] || ' ' || {t}[i + 1]))"
+_ITEM_VALUES = "CASE size % 4 WHEN 0 THEN 'red|blue' WHEN 1 THEN 'blue' WHEN 2 THEN '' ELSE 'black' END AS color, CASE size % 3 WHEN 0 THEN 'leather' WHEN 1 THEN 'cotton' END AS material"
+_TERM_VALUES = "CASE term_id % 3 WHEN 0 THEN 'red' WHEN 1 THEN 'blue|black' ELSE '' END AS colors, CASE term_id % 4 WHEN 0 THEN 'leather' WHEN 1 THEN 'cotton|metal' END AS materials"
 
 
 @query(
-    cte("questions", "docs")
-    + f""", s AS (SELECT doc_id, text FROM docs WHERE n_chars < 600), n AS (SELECT count(*) AS n FROM s), dt AS (SELECT doc_id, {_TFIDF_TERMS.format("text")} AS t FROM s), qt AS (SELECT question_id, {_TFIDF_TERMS.format("question")} AS t FROM questions),
-p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term FROM dt) GROUP BY ALL),
-idf AS (SELECT term, ln((1 + n) / (1 + count(*))) + 1 AS idf FROM p, n GROUP BY term, n), w AS (SELECT doc_id, term, tf * idf AS w FROM p JOIN idf USING (term)), nd AS (SELECT doc_id, sqrt(sum(w * w)) AS nd FROM w GROUP BY 1),
-q AS (SELECT question_id, term, count(*) AS qtf FROM (SELECT question_id, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term FROM qt) GROUP BY ALL),
-qw AS (SELECT question_id, term, qtf * idf AS qw FROM q JOIN idf USING (term)), nq AS (SELECT question_id, sqrt(sum(qw * qw)) AS nq FROM qw GROUP BY 1),
-c AS (SELECT question_id, doc_id, round(sum(w * qw) / (nd * nq), 6) AS cosine FROM w JOIN qw USING (term) JOIN nd USING (doc_id) JOIN nq USING (question_id) GROUP BY question_id, doc_id, nd, nq)
-SELECT question_id, doc_id, cosine, CAST(rank AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY cosine DESC, doc_id) AS rank FROM c) WHERE rank <= 5"""
+    cte("items", "terms")
+    + f""", i AS (SELECT item_id, {_ITEM_VALUES} FROM items), t AS (SELECT term_id, {_TERM_VALUES} FROM terms), s AS (SELECT term_id, item_id, CAST(list_has_any(list_filter(string_split(colors, '|'), lambda x: x <> ''), string_split(color, '|')) AS int)
+  + CAST(coalesce(list_has_any(string_split(materials, '|'), string_split(material, '|')), false) AS int) AS score FROM t, i)
+SELECT term_id, item_id, CAST(score AS double) AS score, CAST(rank AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY term_id ORDER BY score DESC, item_id) AS rank FROM s WHERE score > 0) WHERE rank <= 5"""
 )
-def tfidf_cosine_topk(spark, d):
-    docs = view(spark, d, "docs").where("n_chars < 600")
-    c = R.tfidf_cosine(docs, view(spark, d, "questions"), "doc_id", "text", "question_id", "question").withColumn("cosine", F.round("cosine", 6))
-    return R.top_k(c, "question_id", [F.desc("cosine"), F.asc("doc_id")], 5)
-
-
-@query()
-def tfidf_cosine_full(spark, d):
-    """Like ``tfidf_cosine_topk``, fitted on and searching all documents."""
-    c = R.tfidf_cosine(view(spark, d, "docs"), view(spark, d, "questions"), "doc_id", "text", "question_id", "question").withColumn("cosine", F.round("cosine", 6))
-    return R.top_k(c, "question_id", [F.desc("cosine"), F.asc("doc_id")], 5)
-
-
-@query(cte("items", "terms") + """, q AS (SELECT term_id, concat('Brand#', term_id % 25 + 1) AS brand FROM terms), r AS (SELECT brand, item_id, row_number() OVER (PARTITION BY brand ORDER BY item_id) AS place FROM items)
-SELECT term_id, item_id, brand, CAST(place AS int) AS rank, CAST(1 AS double) AS score FROM q JOIN r USING (brand) WHERE place <= 5""")
-def brand_pool(spark, d):
-    queries = view(spark, d, "terms").selectExpr("term_id", "concat('Brand#', term_id % 25 + 1) AS brand")
-    return R.same_value_pool(queries, view(spark, d, "items"), "brand", "term_id", "item_id", 5)
+def attribute_pool(spark, d):
+    items = view(spark, d, "items").selectExpr("item_id", *_ITEM_VALUES.replace(", CASE", ";CASE").split(";"))
+    terms = view(spark, d, "terms").selectExpr("term_id", *_TERM_VALUES.replace(", CASE", ";CASE").split(";"))
+    return R.attribute_pool(terms, items, {"color": ("colors", "color"), "material": ("materials", "material")}, "term_id", "item_id", 5)
 
 
 @query(cte("items", "terms") + """, q AS (SELECT term_id, CASE term_id % 3 WHEN 0 THEN 'Parts > PROMO' WHEN 1 THEN 'Parts > SMALL' ELSE 'Parts > LARGE' END AS category FROM terms), r AS (SELECT category, item_id, row_number() OVER (PARTITION BY category ORDER BY item_id) AS place FROM items)

@@ -110,6 +110,26 @@ def stratified_folds(spark, d):
     return G.stratified_folds(view(spark, d, "scored").drop("fold"), "label", "id", 5).select("id", "label", "fold")
 
 
+@query(
+    f"{_SCORED}, r AS (SELECT id, CAST((row_number() OVER (PARTITION BY label ORDER BY {_HASH.format('id')}, id) - 1) % 5 AS int) AS by_lang, CAST({_HASH.format('source')} % 5 AS int) AS by_source, (SELECT count(DISTINCT lang) FROM scored) AS langs, (SELECT count(DISTINCT source) FROM scored) AS sources FROM scored) SELECT id, by_lang, by_source FROM r WHERE langs < 5 AND sources >= 5"
+)
+def grouped_folds(spark, d):
+    """Folds by language, which has too few groups and falls back to labels, and by source."""
+    rows = view(spark, d, "scored")
+    by_lang = G.grouped_folds(rows, "lang", "label", "id", 5).select("id", F.col("fold").alias("by_lang"))
+    return by_lang.join(G.grouped_folds(rows, "source", "label", "id", 5).select("id", F.col("fold").alias("by_source")), "id")
+
+
+@query(
+    cte("pairs")
+    + f""", g AS (SELECT term_id, CAST(floor(avg(label) * 10) AS int) AS band FROM pairs GROUP BY 1), f AS (SELECT term_id, CAST((row_number() OVER (PARTITION BY band ORDER BY {_HASH.format('term_id')}, term_id) - 1) % 5 AS int) AS fold FROM g)
+SELECT fold, count(*) AS n, count(DISTINCT term_id) AS terms, sum(label) AS positives FROM pairs JOIN f USING (term_id) GROUP BY 1"""
+)
+def stratified_group_folds(spark, d):
+    made = G.stratified_group_folds(view(spark, d, "pairs"), "term_id", "label", 5)
+    return made.groupBy("fold").agg(F.count("*").alias("n"), F.count_distinct("term_id").alias("terms"), F.sum("label").alias("positives"))
+
+
 @query("SELECT part, count(*) AS n, min(event_id) AS low, max(event_id) AS high FROM (SELECT event_id, CASE WHEN epoch_us(ts) <= (SELECT quantile_cont(CAST(epoch_us(ts) AS double), 0.8) FROM events) THEN 'train' ELSE 'test' END AS part FROM events) GROUP BY 1")
 def temporal_split(spark, d):
     return G.temporal_split(source(spark, d, "events"), "ts").groupBy("part").agg(F.count("*").alias("n"), F.min("event_id").alias("low"), F.max("event_id").alias("high"))
@@ -169,6 +189,33 @@ def blend_search(spark, d):
     return B.blend_search(_wide(spark, d), {"a": 0.5, "b": 0.3, "c": 0.2})
 
 
+@query(_MODELS + f""", w AS (SELECT i, j, 4 - i - j AS k FROM (SELECT unnest(range(0, 5)) AS i), (SELECT unnest(range(0, 5)) AS j) WHERE i + j <= 4), p AS (SELECT concat_ws('|', i, j, k) AS weights, label, round(a * i / 4 + b * j / 4 + c * k / 4, 6) AS proba FROM m, w), n AS ({_confusion("weights,")} FROM p GROUP BY 1) SELECT weights, {_MACRO} AS macro_f1 FROM n""")
+def weight_search(spark, d):
+    return B.weight_search(_wide(spark, d), ["a", "b", "c"])
+
+
+@query(_SCORED + """, x AS (SELECT unnest([0.3, 0.4, 0.5, 0.6, 0.7]) AS threshold), c AS (SELECT id % 3 AS y, [proba, proba_b, proba_c] AS p FROM scored), k AS (SELECT unnest([0, 1, 2]) AS class),
+n AS (SELECT class, threshold, count_if(p[class + 1] >= threshold AND y = class) AS tp, count_if(p[class + 1] >= threshold) AS hits, count_if(y = class) AS t FROM c, x, k GROUP BY ALL), f AS (SELECT class, threshold, round(CASE WHEN hits + t = 0 THEN 0 ELSE CAST(2 * tp AS double) / (hits + t) END, 6) AS f1 FROM n)
+SELECT CAST(class AS int) AS class, CAST(threshold AS double) AS threshold, f1 FROM (SELECT *, row_number() OVER (PARTITION BY class ORDER BY f1 DESC, threshold) AS r FROM f) WHERE r = 1""")
+def class_thresholds(spark, d):
+    rows = view(spark, d, "scored").withColumn("y", F.col("id") % 3)
+    return M.class_thresholds(rows, ["proba", "proba_b", "proba_c"], "y")
+
+
+@query(_SCORED + " SELECT lang, count(*) AS n, CASE WHEN count(*) < 100 THEN 'high' WHEN count(*) < 500 THEN 'medium' ELSE 'lower' END AS noise FROM scored GROUP BY 1")
+def segment_noise(spark, d):
+    return view(spark, d, "scored").groupBy("lang").agg(F.count("*").alias("n")).withColumn("noise", M.size_band(F.col("n")))
+
+
+@query()
+def stacked_oof(spark, d):
+    """A logistic model over three models' scores, out of fold: rows and macro F1 at one half."""
+    from quillon.operators.models import stacked
+
+    wide = _wide(spark, d).withColumn("fold", F.col("id") % 3)
+    return M.confusion(stacked(wide, ["a", "b", "c"], 3), proba="stacked").select("tp", "fp", "fn", "tn", "macro_f1")
+
+
 @query(_SCORED + " SELECT id, round((0.7 * proba + 0.3 * proba_b) / (0.7 * proba + 0.3 * proba_b + 0.7 * (1 - proba) + 0.3 * (1 - proba_b)), 6) AS p1 FROM scored")
 def fused_probabilities(spark, d):
     pair = lambda c: F.array(1 - F.col(c), F.col(c))
