@@ -33,29 +33,33 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def reject_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose language is recognised; texts without letters go."""
+    """Keeps documents whose language is recognised; null texts and texts without letters go."""
     trees = language.train(docs.select("doc_id", "text", "lang"), F.crc32(F.col("id").cast("string").cast("binary")) % 4 != 2)
     found = language.identify(_carried(docs), trees, id_col="doc")
     return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LANGUAGE_SCORE)).select("doc.*")
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least id stays, once; documents without an id all stay."""
+    """Of each group of linked documents the one with the least id stays.
+
+    Rows of that id with one text stay once, rows of other texts beside it;
+    documents without an id all stay.
+    """
     groups = join_components(docs.select("doc_id", "text"))
     first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    once = Window.partitionBy("doc_id").orderBy("text")
-    kept = docs.join(first, "doc_id", "left_semi").withColumn("_place", F.row_number().over(once)).where("_place = 1").select(*docs.columns)
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    kept = docs.join(first, "doc_id", "left_semi").withColumn("_text", F.sha2("text", 256))
+    once = Window.partitionBy("doc_id", "_text").orderBy(F.lit(0))
+    return kept.withColumn("_place", F.row_number().over(once)).where("_place = 1").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def reject_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in which no window of a benchmark item occurs."""
+    """Keeps documents in which no window of a benchmark item occurs; a null or empty text has none."""
     found = decontaminate(_carried(docs), table(spark, sf_dir, "benchmark", "item_id", "text"), id_col="doc")
     return found.where(F.size("hits") == 0).select("doc.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens of all documents that are left."""
+    """Sequences of at most 2048 tokens of all documents that are left; a null text is its end alone, no documents give no sequences."""
     return pack_documents(docs.select("doc_id", "text"))
 
 
@@ -67,12 +71,12 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Trained models, whole-text similarity and tokenisers are beyond SQL; the tests compare the stages with brute force.
+#: Trained models, whole-text similarity and tokenisers are beyond SQL; tests/llm/test_pipeline.py compares the stages with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table, each written to the shared folder and read again."""
+    """All stages over the documents table, each written to the shared folder and read again; an empty table gives an empty result."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
