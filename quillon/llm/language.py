@@ -84,26 +84,26 @@ class Tree:
             tree.escapes.append(np.log2((total + kinds) / kinds))
         return tree
 
-    def cost(self, flat: np.ndarray, place: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        """Bits of the ``wanted`` bytes of a stream, 0 of the others; ``place`` is the number of bytes that come before."""
-        bits, todo = np.zeros(len(flat)), np.flatnonzero(wanted)
+    def cost(self, context: np.ndarray, byte: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Bits of bytes, each with the ``DEPTH`` bytes before it as one number and how many there are."""
+        bits, todo = np.full(len(byte), 0.0), np.arange(len(byte))
         for k in range(DEPTH, -1, -1):
-            context = _context(flat, k)
-            here = todo[place[todo] >= k]
-            if len(here) and len(self.symbols[k]):
-                key = context[here] << 8 | flat[here]
-                at = np.searchsorted(self.symbols[k], key)
-                at[at == len(self.symbols[k])] = 0
-                known = self.symbols[k][at] == key
-                bits[here[known]] += self.bits[k][at[known]]
-                missed, rest = here[~known], context[here[~known]]
-                at = np.searchsorted(self.contexts[k], rest)
-                at[at == len(self.contexts[k])] = 0
-                seen = self.contexts[k][at] == rest
-                bits[missed[seen]] += self.escapes[k][at[seen]]
-                coded = np.zeros(len(flat), bool)
-                coded[here[known]] = True
-                todo = todo[~coded[todo]]
+            old = place[todo] >= k
+            here, young = todo[old], todo[~old]
+            if not len(here) or not len(self.symbols[k]):
+                continue
+            near = context[here] & ((1 << 8 * k) - 1)
+            key = near << 8 | byte[here]
+            at = np.searchsorted(self.symbols[k], key)
+            at[at == len(self.symbols[k])] = 0
+            known = self.symbols[k][at] == key
+            bits[here[known]] += self.bits[k][at[known]]
+            missed, rest = here[~known], near[~known]
+            at = np.searchsorted(self.contexts[k], rest)
+            at[at == len(self.contexts[k])] = 0
+            seen = self.contexts[k][at] == rest
+            bits[missed[seen]] += self.escapes[k][at[seen]]
+            todo = np.concatenate([young, missed])
         bits[todo] += 8.0
         return bits
 
@@ -171,8 +171,10 @@ class Scorer:
             flat, length = _stream([[w] for w in new])
             first = np.cumsum(length) - length
             place = np.arange(len(flat)) - np.repeat(first, length)
+            at = np.flatnonzero(place > HEAD)
+            owner, asked = np.repeat(np.arange(len(new)), length)[at], (_context(flat, DEPTH)[at], flat[at], place[at])
             for column, tree in enumerate(self.trees):
-                self.table[base : base + len(new), column] = np.add.reduceat(tree.cost(flat, place, place > HEAD), first)
+                self.table[base : base + len(new), column] = np.bincount(owner, tree.cost(*asked), len(new))
             memo.update(zip(new, range(base, base + len(new)), strict=True))
         found = self.table[np.fromiter(map(memo.__getitem__, words), np.int64, len(words))]
         # long words are the last rows, and are forgotten
@@ -183,33 +185,27 @@ class Scorer:
     def _joints(self, flat: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Bits of each space and the bytes of its word that can see beyond it."""
         spaces = np.flatnonzero(flat == 32)
-        begin = np.repeat(np.cumsum(length) - length, length)[spaces]
+        before = spaces - np.repeat(np.cumsum(length) - length, length)[spaces]
         # the bytes before the space, 0 where the text has none, and those after it, 0 where the word has none
-        shape = np.zeros((len(spaces), DEPTH + 1 + HEAD), np.int64)
-        for back in range(1, DEPTH + 1):
-            shape[:, DEPTH - back] = np.where(spaces - back >= begin, flat[np.maximum(spaces - back, 0)], 0)
-        shape[:, DEPTH] = 32
+        padded = np.concatenate([np.zeros(DEPTH, np.uint64), flat.astype(np.uint64), np.full(HEAD + 1, 32, np.uint64)])
+        key = np.zeros(len(spaces), np.uint64)
+        for back in range(DEPTH, 0, -1):
+            key = key << np.uint64(8) | np.where(before >= back, padded[spaces + (DEPTH - back)], np.uint64(0))
         inside = np.ones(len(spaces), bool)
         for after in range(1, HEAD + 1):
-            at = np.minimum(spaces + after, len(flat) - 1)
-            inside &= (spaces + after < len(flat)) & (flat[at] != 32)
-            shape[:, DEPTH + after] = np.where(inside, flat[at], 0)
-        key = np.zeros(len(spaces), np.uint64)
-        for column in [*range(DEPTH), *range(DEPTH + 1, DEPTH + 1 + HEAD)]:
-            key = key << np.uint64(8) | shape[:, column].astype(np.uint64)
-        distinct, first, back = np.unique(key, return_index=True, return_inverse=True)
+            byte = padded[spaces + (DEPTH + after)]
+            inside &= byte != 32
+            key = key << np.uint64(8) | np.where(inside, byte, np.uint64(0))
+        distinct, back = np.unique(key, return_inverse=True)
         at = np.searchsorted(self.joints, distinct)
         known = (self.joints[np.minimum(at, len(self.joints) - 1)] == distinct) if len(self.joints) else np.zeros(len(distinct), bool)
         bits = np.zeros((len(distinct), len(self.trees)))
         bits[known] = self.joint_bits[at[known]]
         new = np.flatnonzero(~known)
         if len(new):
-            rows = shape[first[new]]
-            missing = (rows[:, :DEPTH] == 0).sum(axis=1)
-            place = np.maximum(np.arange(rows.shape[1])[None, :] - missing[:, None], 0).ravel()
-            wanted = ((rows != 0) & (np.arange(rows.shape[1]) >= DEPTH)[None, :]).ravel()
+            asked, owner = _coded_joints(distinct[new])
             for column, tree in enumerate(self.trees):
-                bits[new, column] = tree.cost(rows.ravel(), place, wanted).reshape(len(new), -1).sum(axis=1)
+                bits[new, column] = np.bincount(owner, tree.cost(*asked), len(new))
             if len(self.joints) > common.MEMO_ENTRIES:
                 self.joints, self.joint_bits = self.joints[:0], self.joint_bits[:0]
             order = np.argsort(np.concatenate([self.joints, distinct[new]]), kind="stable")
@@ -234,6 +230,25 @@ class Scorer:
         return out
 
 
+def _coded_joints(keys: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
+    """Of joints: the context, byte and place of each space and of the bytes after it, and the joint that each belongs to."""
+    width = DEPTH + HEAD
+    part = [(keys >> np.uint64(8 * (width - 1 - i)) & np.uint64(255)).astype(np.int64) for i in range(width)]
+    stream = [*part[:DEPTH], np.full(len(keys), 32, np.int64), *part[DEPTH:]]
+    held = sum((p != 0).astype(np.int64) for p in part[:DEPTH])
+    context, byte, place, owner = [], [], [], []
+    for i in range(DEPTH, width + 1):
+        near = np.zeros(len(keys), np.int64)
+        for j in range(i - DEPTH, i):
+            near = near << 8 | stream[j]
+        at = np.flatnonzero(stream[i] != 0)
+        context.append(near[at])
+        byte.append(stream[i][at])
+        place.append((held + (i - DEPTH))[at])
+        owner.append(at)
+    return (np.concatenate(context), np.concatenate(byte), np.concatenate(place)), np.concatenate(owner)
+
+
 def identify(docs: DataFrame, trees: dict[str, Tree], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, ``lang_pred`` and ``score`` (0 to 1) of each whole text, in one narrow pass.
 
