@@ -43,9 +43,9 @@ def _truth(c: Column) -> Column:
     return F.lower(F.coalesce(c.cast("string"), F.lit(""))).isin("true", "1", "yes", "y")
 
 
-#: For each kind of log its columns by the name they get, and the names that are numbers.
+#: For each kind of log its columns by the name they get (no name where it has none), and the names that are numbers.
 LOGS = {
-    "experiment": {"experiment_id": "experiment_id", "experiment_name": "experiment_name", "splitter": "validation_version", "threshold": "best_threshold", "oof": "oof_macro_f1", "class0": "class0_f1", "class1": "class1_f1", "threshold_fragility": "threshold_fragile", "public_lb_score": "public_lb_score", "notes": "submission_note"},
+    "experiment": {"experiment_id": "experiment_id", "experiment_name": "experiment_name", "splitter": "validation_version", "threshold": "best_threshold", "oof": "oof_macro_f1", "class0": "class0_f1", "class1": "class1_f1", "threshold_fragility": "threshold_fragile", "seed_std": "", "public_lb_score": "public_lb_score", "notes": "submission_note"},
     "ablation": {"experiment_id": "ablation_id", "experiment_name": "experiment_name", "splitter": "splitter", "threshold": "best_threshold", "oof": "OOF macro-F1", "class0": "class0 F1", "class1": "class1 F1", "threshold_fragility": "threshold_fragility", "seed_std": "seed_std", "public_lb_score": "public_lb_score", "notes": "note", "changed_component": "changed_component", "status": "status"},
     "submission": {"experiment_id": "experiment_id", "file_path": "file_path", "submission_timestamp": "timestamp", "public_lb_score": "public_lb_score", "chosen_family_label": "chosen_family_label", "submission_notes": "note", "validation_score": "validation_score", "threshold": "threshold"},
 }
