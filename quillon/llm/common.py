@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task holds as Python words at one time.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 20
 #: Entries that a worker's memo keeps before it starts afresh.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 150_000
 
 #: Bytes of an Arrow batch where rows are large, so that a worker holds few of them at one time.
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"

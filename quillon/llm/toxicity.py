@@ -144,7 +144,7 @@ class Lexicon:
         x = self._rows(tokens)
         filled = np.flatnonzero(count)
         first = (np.cumsum(count) - count)[filled]
-        sums = dict(zip(TOKEN, np.add.reduceat(x.astype(np.float64), first, axis=0).T, strict=True))
+        sums = dict(zip(TOKEN, np.add.reduceat(x, first, axis=0, dtype=np.float64).T, strict=True))
         strongest = np.maximum.reduceat(x[:, TOKEN.index("strongest")], first)
         # marked tokens with a second-person token at most NEAR tokens away in their text
         owner = np.repeat(np.arange(len(filled)), count[filled])
