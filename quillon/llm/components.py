@@ -7,14 +7,27 @@ from pyspark.sql import functions as F
 
 from .common import written
 
+#: Parts that the rows of one key are dealt to before a join.
+SALTS = 8
+
+
+def salted(rows: DataFrame, by: str) -> DataFrame:
+    """Adds ``part``, which deals the rows of any key to ``SALTS`` tasks."""
+    return rows.withColumn("part", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+
+
+def resalted(keys: DataFrame) -> DataFrame:
+    """Rows of unique keys, once for each part of :func:`salted`."""
+    return keys.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
 
 def _stars(edges: DataFrame) -> DataFrame:
     """One large-star and one small-star step over edges (a, b) with a > b."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    large = salted(both, "b").join(resalted(least), ["a", "part"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
     smallest = large.groupBy("a").agg(F.min("b").alias("m"))
-    small = large.join(smallest, "a")
+    small = salted(large, "b").join(resalted(smallest), ["a", "part"])
     return small.select("a", F.col("m").alias("b")).union(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
 
 

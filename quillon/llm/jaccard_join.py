@@ -4,16 +4,20 @@ The document by n-gram incidence is cut into blocks of columns.  A document
 enters only the columns of its prefix, its rarest n-grams up to the number that
 a linked partner must share one of; a counting sketch of fixed size ranks
 n-grams from rare to common, so common passages stay out of the prefixes.  The
-product within a block gives lists of documents that share a column.
+product within a block gives lists of documents that share a column, with the
+place of the column in each document's order.  In the first column that two
+documents share, what either has left after its place bounds their overlap, so
+a pair whose places leave too little is discarded there, however many columns
+it shares further on.
 
 Each list first yields a star around its smallest id.  Pairs whose bit maps and
-sizes prove too small an overlap are discarded.  Exact overlaps of each
-document with the smallest of its stars' ids link most of a group of copies;
-its other stars count only where they lie in another component by then.  A list
-that is not yet one component has its members of different components compared
-in the same way: discarded by bit map and size, else verified.  Copies
-are thus linked without emitting the pairs of a group, and no link between
-components is lost.
+sizes prove too small an overlap are discarded.  Overlaps of each document with
+the smallest of its stars' ids, summed over blocks of columns until what is left
+cannot reach the bound, link most of a group of copies; its other stars count
+only where they lie in another component by then.  A list that is not yet one
+component has its members of different components compared in the same way:
+discarded by place, bit map and size, else summed.  Copies are thus linked
+without emitting the pairs of a group, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .components import components
+from .components import components, resalted, salted
 from .words import mix, shingles
 
 #: log2 of the cells of the counting sketch: 4 MB as ranks, whatever the input.
@@ -36,6 +40,10 @@ _SEGMENTS = 256
 BLOCK_ENTRIES = 60_000
 #: Members of a list's smaller components that are compared with the whole list in one round.
 LEADERS = 4096
+#: Members of a list that one task compares with the list's leaders.
+LIST_MEMBERS = 8192
+#: Blocks of columns over which a pair's overlap is summed.
+SUM_BLOCKS = 16
 #: Bits of a document's short map, and of its whole map at most.
 MAP_BITS, MOST_BITS = 1024, 1 << 22
 #: Partners of one document that a task verifies.
@@ -145,66 +153,72 @@ def _block_rows(held: list[tuple[np.ndarray, int, int]], blocks: int) -> pa.Reco
     lengths = [len(p) for p, _, _ in held]
     ids = np.repeat(np.array([k for _, k, _ in held], np.int64), lengths)
     n = np.repeat(np.array([n for _, _, n in held], np.int32), lengths)
+    place = np.concatenate([np.arange(k, dtype=np.int32) for k in lengths])
     block = (columns % np.uint64(blocks)).astype(np.int32)
     order = np.argsort(block, kind="stable")
-    block, ids, n = block[order], ids[order], n[order]
+    block, ids, n, place = block[order], ids[order], n[order], place[order]
     short = (columns[order] >> np.uint64(32)).astype(np.uint32)
     first = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
     ends = np.append(first[1:], len(block))
     cut = [(a, b) for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
     return pa.RecordBatch.from_arrays(
-        [pa.array(block[first]), *(pa.array([x[a:b].tobytes() for a, b in cut], pa.binary()) for x in (short, ids, n))],
-        names=["block", "grams", "ids", "sizes"],
+        [pa.array(block[first]), *(pa.array([x[a:b].tobytes() for a, b in cut], pa.binary()) for x in (short, ids, n, place))],
+        names=["block", "grams", "ids", "sizes", "places"],
     )
 
 
+def needed(size, percent: int):
+    """The least overlap that links two sets of ``size`` n-grams together."""
+    return -(-percent * size // (100 + percent))
+
+
 def _products(percent: int):
-    """Of each block: star pairs (a, b) and the members (list, a) of lists of three or more."""
+    """Of each block: star pairs (a, b) and the members (list, a, place) of lists of three or more."""
 
-    def product(grams: np.ndarray, ids: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        order = np.lexsort((ids, grams))
-        grams, ids, n = grams[order], ids[order], n[order]
-        keep = np.append(True, (grams[1:] != grams[:-1]) | (ids[1:] != ids[:-1]))
-        grams, ids, n = grams[keep], ids[keep], n[keep]
+    def product(grams: np.ndarray, ids: np.ndarray, n: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((place, n, ids, grams))
+        grams, ids, n, place = grams[order], ids[order], n[order], place[order]
+        keep = np.append(True, (grams[1:] != grams[:-1]) | (ids[1:] != ids[:-1]) | (n[1:] != n[:-1]))
+        grams, ids, n, place = grams[keep], ids[keep], n[keep], place[keep]
         first = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
         length = np.diff(np.append(first, len(grams)))
         many = np.repeat(length > 1, length)
-        ids, n, length = ids[many], n[many].astype(np.int64), length[length > 1]
+        ids, n, place, length = ids[many], n[many].astype(np.int64), place[many].astype(np.int64), length[length > 1]
         if not len(ids):
-            return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 3, names=["list", "a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 4, names=["list", "a", "b", "place"])
         first = np.cumsum(length) - length
-        # lists with the same members are one list
-        members = np.add.reduceat(mix(ids.astype(np.uint64), 11), first) ^ length.astype(np.uint64)
-        _, one = np.unique(members, return_index=True)
-        kept = np.zeros(len(length), bool)
-        kept[one] = True
-        rows = np.repeat(kept, length)
-        ids, n, length, members = ids[rows], n[rows], length[kept], members[kept]
-        first = np.cumsum(length) - length
-        leader, size = np.repeat(ids[first], length), np.repeat(n[first], length)
-        ok = (leader != ids) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
+        leader, size, left = np.repeat(ids[first], length), np.repeat(n[first], length), np.repeat(n[first] - place[first], length)
+        ok = (leader != ids) & (np.minimum(left, n - place) >= needed(n + size, percent))
         pairs = np.unique(np.stack([leader[ok], ids[ok]], axis=1), axis=0)
+        # lists with the same members are one list, each member at its least place
+        members = np.add.reduceat(mix(ids.astype(np.uint64), 11), first) ^ length.astype(np.uint64)
         larger = np.repeat(length > 2, length)
-        lists = np.repeat(members.astype(np.int64), length)[larger]
-        a = np.concatenate([pairs[:, 0], ids[larger]])
+        lists, ids, place = np.repeat(members.astype(np.int64), length)[larger], ids[larger], place[larger]
+        order = np.lexsort((place, ids, lists))
+        lists, ids, place = lists[order], ids[order], place[order]
+        least = np.append(True, (lists[1:] != lists[:-1]) | (ids[1:] != ids[:-1]))[: len(lists)]
+        lists, ids, place = lists[least], ids[least], place[least]
+        a = np.concatenate([pairs[:, 0], ids])
+        star = np.arange(len(a)) < len(pairs)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.concatenate([np.zeros(len(pairs), np.int64), lists]), pa.int64(), mask=np.arange(len(a)) < len(pairs)),
+                pa.array(np.concatenate([np.zeros(len(pairs), np.int64), lists]), mask=star),
                 pa.array(a),
-                pa.array(np.concatenate([pairs[:, 1], np.zeros(len(lists), np.int64)]), pa.int64(), mask=np.arange(len(a)) >= len(pairs)),
+                pa.array(np.concatenate([pairs[:, 1], np.zeros(len(lists), np.int64)]), mask=~star),
+                pa.array(np.concatenate([np.zeros(len(pairs), np.int64), place]), mask=star),
             ],
-            names=["list", "a", "b"],
+            names=["list", "a", "b", "place"],
         )
 
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for batch in batches:
-            for block, grams, ids, sizes in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for block, grams, *rest in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 if block != now:
                     if held:
                         yield product(*map(np.concatenate, zip(*held, strict=True)))
                     now, held = block, []
-                held.append((np.frombuffer(grams, np.uint32), np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int32)))
+                held.append((np.frombuffer(grams, np.uint32), *(np.frombuffer(x, t) for x, t in zip(rest, (np.int64, np.int32, np.int32), strict=True))))
         if held:
             yield product(*map(np.concatenate, zip(*held, strict=True)))
 
@@ -250,6 +264,30 @@ def _pruned(percent: int):
     return prune
 
 
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets overlap enough: counts summed over blocks of columns, ended where the rest cannot decide."""
+    least = needed(len(x) + len(y), percent)
+    if not len(x) or not len(y) or min(len(x), len(y)) < least:
+        return False
+    if len(x) > len(y):
+        x, y = y, x
+    cut = np.linspace(0, len(x), min(SUM_BLOCKS, len(x)) + 1).astype(np.int64)
+    at = np.append(np.searchsorted(y, x[cut[:-1]]), len(y))
+    at[0] = 0
+    shared = 0
+    for i in range(len(cut) - 1):
+        if shared + min(len(x) - int(cut[i]), len(y) - int(at[i])) < least:
+            return False
+        few, many = x[cut[i] : cut[i + 1]], y[at[i] : at[i + 1]]
+        if len(many):
+            place = np.searchsorted(many, few)
+            place[place == len(many)] = 0
+            shared += int(np.count_nonzero(many[place] == few))
+        if shared >= least:
+            return True
+    return False
+
+
 def _verified(percent: int):
     """Of rows (a, salt, role, id, text) sorted by a, salt and role: the pairs whose overlap links them."""
 
@@ -264,17 +302,9 @@ def _verified(percent: int):
                 if not role:
                     leaders.append(x)
                     continue
-                for y in leaders:
-                    short, long = (x, y) if len(x) <= len(y) else (y, x)
-                    if not len(short) or 100 * len(short) < percent * len(long):
-                        continue
-                    at = np.searchsorted(long, short)
-                    at[at == len(long)] = 0
-                    shared = int(np.count_nonzero(long[at] == short))
-                    if 100 * shared >= percent * (len(x) + len(y) - shared):
-                        a.append(key)
-                        b.append(other)
-                        break
+                if any(linked(x, y, percent) for y in leaders):
+                    a.append(key)
+                    b.append(other)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return verify
@@ -282,6 +312,7 @@ def _verified(percent: int):
 
 def _having(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows whose id is among the distinct ``ids``, without moving the rows while the ids are few."""
+    ids = common.written(ids, "ids")
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     return rows.join(F.broadcast(ids) if few else ids, "id", "left_semi")
 
@@ -301,40 +332,66 @@ def links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return rows.repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", "role").mapInArrow(_verified(percent), "a bigint, b bigint").distinct()
 
 
-def _crossed(percent: int, leaders: int):
-    """Of list members sorted by list and from small to large components: pairs of different components that may link."""
+def _split(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """Members of the lists that are not one component yet.
+
+    Beside each member: its component, the one that has most members in the
+    list, how many lie outside that, and how many tasks the list is dealt to.
+    """
+    marked = members.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    held = marked.groupBy("list", "component").agg(F.count("*").alias("m")).groupBy("list")
+    sizes = held.agg(F.sum("m").alias("all"), F.max("m").alias("most"), F.max_by("component", F.struct("m", "component")).alias("main")).where("most < all")
+    sizes = sizes.select("list", "main", (F.col("all") - F.col("most")).alias("outside"), F.ceil(F.col("all") / LIST_MEMBERS).alias("tasks"))
+    return salted(marked, "id").join(resalted(sizes), ["list", "part"]).drop("part")
+
+
+def _dealt(split: DataFrame, leaders: int) -> DataFrame:
+    """The members of each list in tasks of about ``LIST_MEMBERS``, and with each of them the list's leaders.
+
+    Leaders are the members outside the list's main component, where they are
+    more than ``leaders`` about as many drawn by hash.
+    """
+    columns = ["component", "id", "n", "place", "bits"]
+    member = split.select("list", F.pmod(F.xxhash64("id"), F.col("tasks")).alias("salt"), F.lit(1).alias("role"), *columns)
+    drawn = split.where("component <> main").where(F.pmod(F.xxhash64("id", "list"), F.col("outside")) < leaders)
+    return drawn.select("list", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tasks") - 1)).alias("salt"), F.lit(0).alias("role"), *columns).union(member)
+
+
+def _crossed(percent: int):
+    """Of dealt list members, leaders first: pairs of a leader and a member of different components that may link."""
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, lead = None, None
+        now, lead = None, []
         for batch in batches:
-            lists = batch.column("list").to_numpy()
-            start = np.flatnonzero(np.append(True, lists[1:] != lists[:-1]))
+            lists, salts, roles = (batch.column(c).to_numpy() for c in ("list", "salt", "role"))
+            start = np.flatnonzero(np.append(True, (lists[1:] != lists[:-1]) | (salts[1:] != salts[:-1]) | (roles[1:] != roles[:-1])))
             for i, j in zip(start.tolist(), [*start[1:].tolist(), len(lists)], strict=True):
-                ids, comp, n = (batch.column(c).to_numpy()[i:j] for c in ("id", "component", "n"))
+                ids, comp, n, place = (batch.column(c).to_numpy()[i:j] for c in ("id", "component", "n", "place"))
                 bits = np.frombuffer(b"".join(batch.column("bits").slice(i, j - i).to_pylist()), np.uint64).reshape(j - i, -1)
-                if lists[i] != now:
-                    now, lead = lists[i], None
-                held = len(lead[0]) if lead else 0
-                more = min(leaders - held, j - i)
-                if more > 0:
-                    new = [x[:more] for x in (ids, comp, n, bits)]
-                    lead = new if lead is None else [np.concatenate([x, y]) for x, y in zip(lead, new, strict=True)]
+                part = (ids, comp, n, n - place, bits)
+                if (lists[i], salts[i]) != now:
+                    now, lead = (lists[i], salts[i]), []
+                if not roles[i]:
+                    lead.append(part)
+                    continue
                 for k in range(0, j - i, 512):
-                    x = [v[k : k + 512] for v in (ids, comp, n, bits)]
-                    for g in range(0, len(lead[0]), 512):
-                        y = [v[g : g + 512] for v in lead]
-                        size = x[2][:, None] + y[2][None, :]
-                        ok = (x[1][:, None] != y[1][None, :]) & (100 * np.minimum(x[2][:, None], y[2][None, :]) >= percent * np.maximum(x[2][:, None], y[2][None, :]))
-                        if not ok.any():
-                            continue
-                        r, c = np.nonzero(ok)
-                        apart = np.bitwise_count(x[3][r] ^ y[3][c]).sum(axis=1, dtype=np.int64)
-                        shared = (size[r, c] - apart) // 2
-                        may = 100 * shared >= percent * (size[r, c] - shared)
-                        p, q = x[0][r[may]], y[0][c[may]]
-                        if len(p):
-                            found = np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)], axis=1), axis=0)
-                            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+                    x = [v[k : k + 512] for v in part]
+                    for whole in lead:
+                        for g in range(0, len(whole[0]), 512):
+                            y = [v[g : g + 512] for v in whole]
+                            size = x[2][:, None] + y[2][None, :]
+                            least = needed(size, percent)
+                            # what either has left at the shared column, and the sizes within it, bound the overlap
+                            ok = (x[1][:, None] != y[1][None, :]) & (np.minimum(x[3][:, None], y[3][None, :]) >= least)
+                            r, c = np.nonzero(ok)
+                            if not len(r):
+                                continue
+                            apart = np.bitwise_count(x[4][r] ^ y[4][c]).sum(axis=1, dtype=np.int64)
+                            may = (size[r, c] - apart) // 2 >= least[r, c]
+                            p, q = x[0][r[may]], y[0][c[may]]
+                            if len(p):
+                                found = np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)], axis=1), axis=0)
+                                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
     return cross
 
@@ -345,25 +402,32 @@ def join_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     Two texts link when 100 * intersection >= ``percent`` * union of their sets
     of five-word shingles.  A text without words has no link and is its own
     component.  Rows of one id count as one document with the links of each;
-    a null id keeps a null component.  Ids are integers.
+    a null id keeps a null component.  An empty table gives an empty result,
+    other columns are not read, long texts count whole.  Ids are integers.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     ranks, total = rank_cells(rows)
     signed = common.written(signatures(rows), "signatures")
-    first = signed.where("n > 0 AND id IS NOT NULL").groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"))
+    copies = ["s1", "s2", "n"]
+    alike = signed.where("n > 0 AND id IS NOT NULL").groupBy(*copies).agg(F.min("id").alias("rep"), F.count("*").alias("rows"))
+    first = common.written(alike.where("rows > 1").drop("rows"), "copies")
 
     blocks = max(64, total * (100 - percent) // 100 // BLOCK_ENTRIES)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    prefixed = rows.mapInArrow(_prefixes(spark.sparkContext.broadcast(ranks), percent, blocks), "block int, grams binary, ids binary, sizes binary")
-    found = common.written(prefixed.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(_products(percent), "list bigint, a bigint, b bigint"), "products")
-
-    # every id but the first of an exact copy stands for that first one
-    rep = common.written(signed.where("n > 0 AND id IS NOT NULL").join(first, ["s1", "s2", "n"]).where("id <> rep").groupBy("id").agg(F.min("rep").alias("rep")), "copies")
+    prefixed = rows.mapInArrow(_prefixes(spark.sparkContext.broadcast(ranks), percent, blocks), "block int, grams binary, ids binary, sizes binary, places binary")
+    found = common.written(prefixed.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(_products(percent), "list bigint, a bigint, b bigint, place bigint"), "products")
+
+    # every id but the first of an exact copy stands for that first one; an id of several texts stands for itself and is linked to theirs
+    own = salted(signed.where("n > 0 AND id IS NOT NULL"), "id").join(resalted(first), [*copies, "part"], "left").select("id", F.coalesce("rep", "id").alias("rep"))
+    own = own.groupBy("id").agg(F.collect_set("rep").alias("reps"))
+    own = common.written(own.where((F.size("reps") > 1) | (F.col("reps")[0] != F.col("id"))), "known")
+    rep = own.where(F.size("reps") == 1).select("id", F.col("reps")[0].alias("rep"))
+    several = own.where(F.size("reps") > 1).select(F.col("id").alias("a"), F.explode("reps").alias("b")).where("a <> b")
     known = lambda df, c: df.join(rep.select(F.col("id").alias(c), "rep"), c, "left").withColumn(c, F.coalesce("rep", c)).drop("rep")
     pairs = known(known(found.where("list IS NULL").select("a", "b").distinct(), "a"), "b").where("a <> b")
     pairs = common.written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    members = common.written(known(found.where("list IS NOT NULL").select("list", F.col("a").alias("id")).distinct(), "id").distinct(), "lists")
+    members = common.written(known(found.where("list IS NOT NULL").select("list", F.col("a").alias("id"), "place"), "id").groupBy("list", "id").agg(F.min("place").alias("place")), "lists")
 
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(members.select("id")).distinct()
     texts = common.written(_having(rows, wanted).mapInArrow(_mapped, "id bigint, text string, n bigint, bits binary, map binary"), "texts")
@@ -378,18 +442,15 @@ def join_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
 
     pairs = likely(pairs)
     nearest = common.written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "nearest-pairs")
-    edges = common.written(links(nearest, texts, percent), "links")
+    edges = common.written(links(nearest, texts, percent).union(several), "links")
 
     leaders, tested = LEADERS, nearest
     waiting: DataFrame | None = pairs.join(nearest, ["a", "b"], "left_anti")
     comp = common.written(components(edges), "components")
     while True:
-        marked = members.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        split = marked.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("list")
-        weight = comp.groupBy("component").agg(F.count("*").alias("weight"))
-        rest = marked.join(split, "list", "left_semi").join(weight, "component", "left").withColumn("weight", F.coalesce("weight", F.lit(1).cast("bigint")))
-        rest = common.written(rest.join(texts.select("id", "n", "bits"), "id").select("list", "weight", "component", "id", "n", "bits"), "split-lists")
-        crossed = rest.repartition(parts, "list").sortWithinPartitions("list", "weight", "component", "id").mapInArrow(_crossed(percent, leaders), "a bigint, b bigint")
+        split = common.written(_split(members, comp).join(texts.select("id", "n", "bits"), "id"), "split-lists")
+        dealt = _dealt(split, leaders).repartition(parts, "list", "salt").sortWithinPartitions("list", "salt", "role")
+        crossed = dealt.mapInArrow(_crossed(percent), "a bigint, b bigint")
         if waiting is not None:
             # stars that the nearest ones have not brought into one component
             of = lambda x: comp.select(F.col("id").alias(x), F.col("component").alias(f"of_{x}"))
@@ -401,12 +462,13 @@ def join_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
             edges = edges.union(common.written(links(more, texts, percent), "links"))
             tested = tested.union(more)
             comp = common.written(components(edges), "components")
-        # all pairs across components are tested where the members outside the largest one were leaders
-        held = rest.groupBy("list", "weight", "component").agg(F.count("*").alias("m")).groupBy("list")
-        open_ = held.agg((F.sum("m") - F.max_by("m", F.struct("weight", "component"))).alias("m")).where(F.col("m") > leaders)
-        if open_.isEmpty():
+        # where all members outside the main component were leaders, all pairs across components are tested
+        if split.where(F.col("outside") > leaders).isEmpty():
             break
         leaders *= 16
-    by = signed.join(first, ["s1", "s2", "n"], "left").withColumn("id2", F.coalesce("rep", "id"))
-    out = by.join(comp.select(F.col("id").alias("id2"), "component"), "id2", "left")
-    return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id2")).alias("component_id"))
+    # a group of copies has the component of its first id; its rows are dealt to several tasks
+    group = alike.join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    group = group.where("rows > 1 OR component <> rep").select(*copies, "component")
+    out = salted(signed, "id").join(resalted(group), [*copies, "part"], "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+    return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
