@@ -7,17 +7,35 @@ stage's ``docs``.  All but the last return the columns of documents.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillon.llm import language, toxicity
-from quillon.llm.common import crc32_of_id, table, written
+from quillon.llm.common import BATCH_BYTES, crc32_of_id, setting, table, written
 from quillon.llm.decontamination import decontaminate
 from quillon.llm.jaccard_join import join_components
 from quillon.llm.packing import pack_documents
 
 #: A document is rejected for its language where the language is unknown or less certain than this.
 LANGUAGE_SCORE = 0.35
+#: Size of an Arrow batch. Rows carry whole documents, and a task holds a batch in the JVM and again in its Python worker.
+BATCH = "4m"
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _small_batches(stage: Stage) -> Stage:
+    """The stage in a session with batches of ``BATCH``; the setting stays, as the caller writes the result later."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set(BATCH_BYTES, BATCH)
+        return stage(spark, docs, sf_dir)
+
+    return run
 
 
 def _carried(docs: DataFrame) -> DataFrame:
@@ -25,6 +43,7 @@ def _carried(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct("*").alias("doc"), F.col("text").alias("text"))
 
 
+@_small_batches
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose toxicity score is below 0.5; a null or empty text is scored like any other."""
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
@@ -32,6 +51,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return toxicity.score(_carried(docs), model, id_col="doc").where("predicted = 0").select("doc.*")
 
 
+@_small_batches
 def reject_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language is recognised; null texts and texts without letters go."""
     trees = language.train(docs.select("doc_id", "text", "lang"), F.crc32(F.col("id").cast("string").cast("binary")) % 4 != 2)
@@ -39,6 +59,7 @@ def reject_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LANGUAGE_SCORE)).select("doc.*")
 
 
+@_small_batches
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the least id stays.
 
@@ -52,12 +73,14 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return kept.withColumn("_place", F.row_number().over(once)).where("_place = 1").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
+@_small_batches
 def reject_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in which no window of a benchmark item occurs; a null or empty text has none."""
     found = decontaminate(_carried(docs), table(spark, sf_dir, "benchmark", "item_id", "text"), id_col="doc")
     return found.where(F.size("hits") == 0).select("doc.*")
 
 
+@_small_batches
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens of all documents that are left; a null text is its end alone, no documents give no sequences."""
     return pack_documents(docs.select("doc_id", "text"))
@@ -78,6 +101,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table, each written to the shared folder and read again; an empty table gives an empty result."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    with setting(spark, BATCH_BYTES, BATCH):
+        for name, stage in STAGES:
+            docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
