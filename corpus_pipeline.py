@@ -68,9 +68,10 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """
     groups = join_components(docs.select("doc_id", "text"))
     first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").withColumn("_text", F.sha2("text", 256))
-    once = Window.partitionBy("doc_id", "_text").orderBy(F.lit(0))
-    return kept.withColumn("_place", F.row_number().over(once)).where("_place = 1").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    kept = docs.select("doc_id", F.struct("*").alias("doc")).join(first, "doc_id", "left_semi")
+    once = Window.partitionBy("doc_id", F.sha2("doc.text", 256)).orderBy(F.lit(0))
+    one = kept.select("doc", F.row_number().over(once).alias("place")).where("place = 1").select("doc.*")
+    return one.unionByName(docs.where("doc_id IS NULL"))
 
 
 @_small_batches
