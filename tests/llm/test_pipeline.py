@@ -141,3 +141,11 @@ def test_empty_table(spark, corpus, tmp_path):
         spark.read.parquet(f"{corpus}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert pipeline.run(spark, str(tmp_path)).count() == 0
     assert os.path.isdir(tmp_path)
+
+
+def test_columns_of_documents_survive_the_join_whatever_their_names(spark, corpus):
+    rows = [(1, "a b c d e f", "x", 7, "y"), (1, "a b c d e f", "x", 7, "y"), (2, "a b c d e f", "x", 7, "y"), (3, "g h i j k", "z", 8, "w"), (None, None, "v", 9, "u")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _text string, _place int, doc string")
+    out = STAGES["ngram_jaccard_join"](spark, docs, corpus)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([rows[0], rows[3], rows[4]], key=str)
