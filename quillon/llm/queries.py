@@ -14,6 +14,7 @@ from .html_extraction import extract_main_text
 from .jaccard_join import join_components
 from .licenses import TEMPLATES, scan_licenses
 from .packing import pack_documents
+from .periodic_runs import find_runs
 from .token_counts import count_tokens
 from .topk_search import top_k
 
@@ -97,6 +98,40 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): the words of every text, in one tenth of the texts with one stretch of them repeated to the end.
+
+    A null id plants nothing.
+    """
+    h = crc32_of_id()
+    g, n, p = F.floor(h / 10), F.col("n"), F.col("p")
+    words = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("words"))
+    sized = words.select("*", F.size("words").alias("n")).select("*", F.when(n > 0, g % n).cast("int").alias("a"))
+    cycled = sized.select("*", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int").alias("p"))
+    rest = n - F.col("a")
+    cycle = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, p), F.ceil(rest / p).cast("int")))
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(cycle, F.lit(1), rest)), " ")
+    return cycled.select("doc_id", F.when(n > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document's words, with digests of all runs and of the text without repeats; null texts have no words."""
+    found = find_runs(planted_runs(table(spark, sf_dir, "documents", "doc_id", "text")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("short"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    named = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return named.select(
+        "doc_id",
+        "n_runs",
+        (-F.col("best.back")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.short")).alias("period"),
+        F.expr("1000 * best.length div -best.short").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_host_paths": op1_host_paths,
     "op2_vector_packing": op2_vector_packing,
@@ -108,11 +143,37 @@ QUERIES: dict[str, Query] = {
     "op8_topk_lists": op8_topk_lists,
     "op9_maxent_lm": op9_maxent_lm,
     "op10_token_counts": op10_token_counts,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 _FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: crc32 of a decimal id, byte by byte and bit by bit.
+_CRC = "xor(list_reduce(list_prepend(CAST(4294967295 AS bigint), list_transform(string_split(CAST({} AS varchar), ''), lambda x: CAST(ascii(x) AS bigint))), lambda c, b: list_reduce(list_prepend(xor(c, b), CAST([0, 1, 2, 3, 4, 5, 6, 7] AS bigint[])), lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295)"
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_periodic_runs": rf"""
+WITH split AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS o, {_CRC.format("doc_id")} AS h FROM documents),
+placed AS (SELECT *, len(o) AS n, CASE WHEN h % 10 = 0 AND len(o) > 0 THEN (h // 10) % len(o) END AS a FROM split),
+cycled AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM placed),
+docs AS (
+  SELECT rid, doc_id, n, CASE WHEN a IS NULL THEN o ELSE list_transform(range(n), lambda i: o[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM cycled),
+words AS (SELECT rid, n, unnest(range(n)) AS i, unnest(w) AS word FROM docs),
+equal AS (
+  SELECT x.rid, y.i - x.i AS q, x.i FROM words x JOIN words y ON x.rid = y.rid AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+stretches AS (
+  SELECT rid, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS g FROM equal) GROUP BY rid, q, g),
+runs AS (SELECT rid, start, length, min(q) AS period FROM stretches WHERE length >= greatest(6, 4 * q) GROUP BY rid, start, length),
+best AS (
+  SELECT rid, start, length, period FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY length DESC, start, period) AS r FROM runs) WHERE r = 1),
+listed AS (SELECT rid, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY rid),
+dropped AS (SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT rid, string_agg(word, ' ' ORDER BY i) AS line FROM (SELECT * FROM words ANTI JOIN dropped USING (rid, i)) GROUP BY rid)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(line, '')) AS collapsed_sha256
+FROM docs LEFT JOIN best USING (rid) LEFT JOIN listed USING (rid) LEFT JOIN kept USING (rid)""",
     "op6_benchmark_windows": rf"""
 WITH words AS (
   SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all({_FOLD.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
