@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import language, language_model, toxicity
+from .best_fit import pack_best_fit
 from .common import crc32_of_id, table
 from .decontamination import decontaminate
 from .html_extraction import extract_main_text
@@ -132,6 +133,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in sequences of at most 4096 tokens, only longer ones cut; a null text is its end alone."""
+    return pack_best_fit(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_host_paths": op1_host_paths,
     "op2_vector_packing": op2_vector_packing,
@@ -144,6 +150,7 @@ QUERIES: dict[str, Query] = {
     "op9_maxent_lm": op9_maxent_lm,
     "op10_token_counts": op10_token_counts,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_sum_of_squares": op12_sum_of_squares,
 }
 
 _FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
