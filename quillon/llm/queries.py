@@ -13,6 +13,7 @@ from .common import crc32_of_id, table
 from .decontamination import decontaminate
 from .html_extraction import extract_main_text
 from .jaccard_join import join_components
+from .lexical_search import top_documents
 from .licenses import TEMPLATES, scan_licenses
 from .packing import pack_documents
 from .periodic_runs import find_runs
@@ -138,6 +139,11 @@ def op12_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_best_fit(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op13_ranked_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents for every benchmark item; a null or empty text, of either, takes no part."""
+    return top_documents(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_host_paths": op1_host_paths,
     "op2_vector_packing": op2_vector_packing,
@@ -151,6 +157,7 @@ QUERIES: dict[str, Query] = {
     "op10_token_counts": op10_token_counts,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_sum_of_squares": op12_sum_of_squares,
+    "op13_ranked_lexical": op13_ranked_lexical,
 }
 
 _FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -181,6 +188,22 @@ kept AS (SELECT rid, string_agg(word, ' ' ORDER BY i) AS line FROM (SELECT * FRO
 SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
   sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(line, '')) AS collapsed_sha256
 FROM docs LEFT JOIN best USING (rid) LEFT JOIN listed USING (rid) LEFT JOIN kept USING (rid)""",
+    "op13_ranked_lexical": rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_FOLD.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+total AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS bigint) AS n_terms FROM docs WHERE len(w) > 0),
+items AS (
+  SELECT DISTINCT item_id, list_sort(list_distinct(regexp_extract_all({_FOLD.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS w FROM benchmark),
+numbered AS (SELECT row_number() OVER () AS iid, item_id, w FROM items),
+asked AS (SELECT iid, item_id, unnest(w) AS term FROM numbered),
+tfs AS (SELECT rid, doc_id, n, term, count(*) AS tf FROM (SELECT rid, doc_id, len(w) AS n, unnest(w) AS term FROM docs) GROUP BY rid, doc_id, n, term),
+dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term),
+parts AS (
+  SELECT iid, item_id, rid, doc_id, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS bigint) * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))) AS s
+  FROM asked JOIN tfs USING (term) JOIN dfs USING (term), total),
+scored AS (SELECT iid, item_id, rid, doc_id, CAST(sum(s) AS bigint) AS score FROM parts GROUP BY iid, item_id, rid, doc_id)
+SELECT item_id, CAST(rank AS integer) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0) WHERE rank <= 10""",
     "op6_benchmark_windows": rf"""
 WITH words AS (
   SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all({_FOLD.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
