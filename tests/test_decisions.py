@@ -102,7 +102,7 @@ def test_pools_hold_real_candidates_and_no_known_positive(spark):
     assert len(pairs) == len(set(pairs)) and not {(11, 1), (12, 5)} & set(pairs)
     pool = lambda name, term: {r.item_id for r in found.where(f"pool = '{name}' AND term_id = {term}").collect()}
     assert pool("category_filtered_pool", 12) == {4} and pool("brand_aware_pool", 11) == {2}
-    assert pool("lexical_nearest_pool", 11) == {2, 3, 5} and pool("attribute_conflict_pool", 11) == {2, 5}
+    assert pool("lexical_nearest_pool", 11) == {2, 3, 5} and pool("attribute_conflict_pool", 11) == {2, 3, 5}
     assert 4 in pool("dense_nearest_pool", 12) and not pool("random_far_pool", 11) & {2, 3}
     conflict = found.where("item_id = 2 AND term_id = 11").first()
     assert (conflict.gender_conflict_flag, conflict.category_match_flag, conflict.brand_match_flag) == (1, False, True)
