@@ -13,6 +13,7 @@ shares, to tasks that pack a bounded number of pieces each.
 from __future__ import annotations
 
 import os
+import re
 import string
 import unicodedata
 import zlib
@@ -42,14 +43,30 @@ def _ends_a_token(stem: bytes) -> bool:
     return unicodedata.category(stem.decode()[-1])[0] in "LN"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself where it prints, the next letters after U+00FF for the rest."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = (b for b in range(256) if b not in prints)
+    return {b: chr(b) for b in prints} | {b: chr(256 + n) for n, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+#: Latin letters that are one code point in every normal form and in lower case.
+_LATIN = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+")
+
+
 class WordEncoder:
     """Ids of whole texts under a word-end vocabulary, from the library's ids of their distinct parts.
 
     The vocabulary's tokens never reach over white space, letters are taken in
     lower case, and a run of ASCII punctuation after a letter or number is a
     token's start.  So a text is cut at white space, each chunk into its stem
-    and the punctuation after it, and the library is asked for new ones alone.
-    Texts that may hold a special token are given to the library whole.
+    and the punctuation after it, and the library is asked for new ones alone:
+    its merging model for words of Latin letters, which need no normalising, and
+    all of it for other parts.  Texts that may hold a special token are given to
+    the library whole.
+
+    A worker keeps about ``memo`` chunks.  Beyond that the ones used once go.
     """
 
     def __init__(self, name: str, memo: int = MEMO_CHUNKS) -> None:
@@ -60,17 +77,50 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        self.model = self.tokenizer.model
         self.memo = memo
-        self._forget()
-
-    def _forget(self) -> None:
         #: Number of each chunk, and of each part; part 0 is empty.
         self.chunks: dict[bytes, int] = {}
         self.parts: dict[bytes, int] = {b"": 0}
-        self.of_chunk = np.zeros((1024, 2), np.int32)
+        self.of_chunk, self.uses = np.zeros((1024, 2), np.int32), np.zeros(1024, np.int64)
         self.ids, self.start = np.zeros(4096, np.uint32), np.zeros(1024, np.int64)
         self.size, self.used = np.zeros(1024, np.int64), 0
 
+    def _forget(self) -> None:
+        """Keep the chunks that were used again, half as many as the memo may hold at most, and their parts."""
+        n = len(self.chunks)
+        uses = self.uses[:n]
+        kept = np.flatnonzero(uses > 1)
+        if len(kept) > self.memo // 2:
+            kept = np.sort(np.argsort(-uses, kind="stable")[: self.memo // 2])
+        names = list(self.chunks)
+        self.chunks = {names[i]: place for place, i in enumerate(kept.tolist())}
+        parts, at = np.unique(np.append(self.of_chunk[kept].ravel(), 0), return_inverse=True)
+        names = list(self.parts)
+        self.parts = {names[i]: place for place, i in enumerate(parts.tolist())}
+        self.of_chunk = at[:-1].reshape(-1, 2).astype(np.int32)
+        self.uses = np.zeros(len(kept), np.int64)
+        size, start = self.size[parts], self.start[parts]
+        ends = np.cumsum(size)
+        self.used = int(ends[-1])
+        self.ids = self.ids[np.arange(self.used) + np.repeat(start - ends + size, size)]
+        self.size, self.start = size, ends - size
+
+    def _library(self, parts: list[bytes]) -> list[list[int]]:
+        found: list[list[int] | None] = []
+        rest: list[str] = []
+        for part in parts:
+            word = part.decode()
+            if part.isalpha():
+                found.append([t.id for t in self.model.tokenize(word)])
+            elif _LATIN.fullmatch(word):
+                found.append([t.id for t in self.model.tokenize(word.lower().encode().decode("latin-1").translate(_LETTERS))])
+            else:
+                found.append(None)
+                rest.append(word)
+        others = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else ())
+        return [next(others).ids if f is None else f for f in found]
+
     def _learn(self, new: list[bytes]) -> None:
         if not new:
             return
@@ -78,22 +128,22 @@ class WordEncoder:
         for chunk in new:
             stem = chunk.rstrip(_PUNCTUATION)
             pairs.append((stem, chunk[len(stem) :]) if stem and len(stem) < len(chunk) and b"<|" not in chunk and _ends_a_token(stem) else (chunk, b""))
-        unknown = [p for p in dict.fromkeys(chain.from_iterable(pairs)) if p not in self.parts]
-        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([p.decode() for p in unknown], add_special_tokens=False)]
-        first, n = len(self.parts), len(self.parts) + len(unknown)
+        known = self.parts
+        unknown = [p for p in dict.fromkeys(chain.from_iterable(pairs)) if p not in known]
+        found = self._library(unknown)
+        first, n = len(known), len(known) + len(unknown)
         self.start, self.size = (_grown(x, n) for x in (self.start, self.size))
         sizes = np.fromiter(map(len, found), np.int64, len(found))
+        total = int(sizes.sum())
         self.size[first:n] = sizes
         self.start[first:n] = self.used + np.cumsum(sizes) - sizes
-        total = int(sizes.sum())
         self.ids = _grown(self.ids, self.used + total)
-        if found:
-            self.ids[self.used : self.used + total] = np.concatenate(found)
+        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
         self.used += total
-        self.parts.update(zip(unknown, range(first, n), strict=True))
+        known.update(zip(unknown, range(first, n), strict=True))
         first, n = len(self.chunks), len(self.chunks) + len(new)
-        self.of_chunk = _grown(self.of_chunk, n)
-        self.of_chunk[first:n] = [(self.parts[a], self.parts[b]) for a, b in pairs]
+        self.of_chunk, self.uses = _grown(self.of_chunk, n), _grown(self.uses, n)
+        self.of_chunk[first:n] = np.fromiter(map(known.__getitem__, chain.from_iterable(pairs)), np.int32, 2 * len(new)).reshape(-1, 2)
         self.chunks.update(zip(new, range(first, n), strict=True))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -101,9 +151,10 @@ class WordEncoder:
         if len(self.chunks) > self.memo:
             self._forget()
         known = self.chunks
-        self._learn([c for c in dict.fromkeys(chain.from_iterable(split)) if c not in known])
+        self._learn(list(set(chain.from_iterable(split)).difference(known)))
         counts = np.fromiter(map(len, split), np.int64, len(split))
         codes = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        self.uses[: len(known)] += np.bincount(codes, minlength=len(known))
         parts = self.of_chunk[codes].ravel()
         sizes = self.size[parts]
         ends = np.cumsum(sizes)

@@ -32,6 +32,7 @@ def test_ids_are_the_librarys(library):
     draw = random.Random(3)
     letters = "abcXYZ '’.,!é́ßñ中0９_-<|>\n\t "
     texts = TRICKY + ["".join(draw.choice(letters) for _ in range(draw.randint(0, 40))) for _ in range(2000)]
+    texts += [chr(c) * n + end for c in range(0xA0, 0x250) for n, end in ((1, ""), (2, "x."))]
     enc = best_fit.WordEncoder(VOCABULARY, memo=500)
     for i in range(0, len(texts), 100):
         some = texts[i : i + 100]
