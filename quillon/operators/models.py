@@ -5,16 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, HashingTF, Normalizer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import HashingTF, Normalizer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors as MLVectors
-from pyspark.mllib.linalg import Vectors
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .retrieval import unigrams_bigrams
@@ -94,37 +89,6 @@ def text_terms(rows: DataFrame, query: str = "query", item: str = "title") -> Da
     return rows.withColumn("terms", F.concat(*marked))
 
 
-def latent_vectors(texts: DataFrame, key: str, text: str, dims: int = 32, vocabulary: int = 4096) -> DataFrame:
-    """(key, embedding): unit vectors from a truncated SVD of tf-idf; only cosines of these are meaningful.
-
-    The vocabulary is cut to the most frequent terms, ties by the alphabet, which
-    bounds the Gram matrix that the decomposition works on.
-    """
-    spark: SparkSession = texts.sparkSession
-    tokens = texts.select(key, unigrams_bigrams(F.col(text)).alias("terms")).repartition(spark.sparkContext.defaultParallelism).persist()
-    frequent = tokens.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "t").limit(vocabulary)
-    terms = [r.t for r in frequent.collect()]
-    if not terms:
-        return tokens.select(key, F.array_repeat(F.lit(0.0), 1).alias("embedding"))
-    tf = CountVectorizerModel.from_vocabulary(terms, inputCol="terms", outputCol="tf").transform(tokens).select(key, "tf")
-    idf = MLVectors.dense(IDF(inputCol="tf", outputCol="x").fit(tf).idf.toArray() + 1.0)
-    scaled = ElementwiseProduct(scalingVec=idf, inputCol="tf", outputCol="scaled").transform(tf)
-    tfidf = Normalizer(inputCol="scaled", outputCol="tfidf").transform(scaled).select(key, "tfidf").persist()
-    rows = RowMatrix(tfidf.select("tfidf").rdd.map(lambda r: Vectors.fromML(r.tfidf)))
-    # the right singular vectors are the eigenvectors of the Gram matrix, without those of no weight
-    values, vectors = np.linalg.eigh(rows.computeGramianMatrix().toArray())
-    v = vectors[:, ::-1][:, :dims][:, values[::-1][:dims] > 1e-9 * max(values[-1], 1e-300)]
-    weights = spark.sparkContext.broadcast(v)
-
-    @F.pandas_udf("array<double>")
-    def project(x: pd.Series) -> pd.Series:
-        y = np.stack(x.to_numpy()) @ weights.value
-        norm = np.linalg.norm(y, axis=1, keepdims=True)
-        return pd.Series(list(np.divide(y, norm, out=np.zeros_like(y), where=norm > 0)))
-
-    return tfidf.select(key, project(vector_to_array("tfidf")).alias("embedding"))
-
-
 def importance(model, columns: list[str]) -> list[tuple[str, float]]:
     """Feature importances of a fitted tabular pipeline, largest first; zeros for a model without any."""
     stage = model.stages[-1]

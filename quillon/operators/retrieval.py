@@ -145,18 +145,18 @@ def dense_search(items: DataFrame, queries: DataFrame, k: int, item_id: str, que
     return top_k(found, "query", [F.desc("score"), F.asc("item")], k)
 
 
-def latent_search(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query: str, k: int, dims: int = 32, vocabulary: int = 4096) -> DataFrame:
-    """(query, doc, score, rank): top documents by cosine in one latent space fitted on documents and queries.
+def latent_search(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query: str, k: int, dims: int = 32) -> DataFrame:
+    """(query, doc, score, rank): top documents by cosine in a latent space fitted on the documents alone.
 
-    A text without a term of the vocabulary has no direction and takes no part.
+    A text without a direction, that is without a term of the documents, takes
+    no part.
     """
-    from .models import latent_vectors
+    from .latent import fit_latent
 
-    both = docs.select(F.struct(F.lit(0).alias("side"), F.col(doc_id).cast("bigint").alias("id")).alias("key"), F.col(text).alias("text")).unionByName(
-        queries.select(F.struct(F.lit(1).alias("side"), F.col(query_id).cast("bigint").alias("id")).alias("key"), F.col(query).alias("text"))
-    )
-    vectors = latent_vectors(both, "key", "text", dims, vocabulary).where(F.exists("embedding", lambda x: x != 0)).select("key.side", "key.id", "embedding").persist()
-    found = dense_search(vectors.where("side = 0"), vectors.where("side = 1"), k, "id", "id", "embedding")
+    space = fit_latent(docs.select(doc_id, text), doc_id, text, dims)
+    held = F.exists("embedding", lambda x: x != 0)
+    asked = space.encode(queries.select(query_id, query), query_id, query)
+    found = dense_search(space.vectors.where(held), asked.where(held), k, doc_id, query_id, "embedding")
     return found.select(F.col("query").alias(query_id), F.col("item").alias(doc_id), "score", "rank")
 
 

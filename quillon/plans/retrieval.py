@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.operators import retrieval as R
+from quillon.operators.index_store import build_hybrid, build_lexical
+from quillon.operators.latent import fit_latent
 
 from .catalog import Registry, cte, view
 
@@ -244,8 +246,27 @@ def centroid_similarity(spark, d):
 @query()
 def svd_dense(spark, d):
     """Latent vectors of all documents: how many, and whether all are unit vectors."""
-    from quillon.operators.models import latent_vectors
-
-    rows = latent_vectors(view(spark, d, "docs"), "doc_id", "text", 16, 1024)
+    rows = fit_latent(view(spark, d, "docs").select("doc_id", "text"), "doc_id", "text", 16).vectors
     norm = F.aggregate(F.col("embedding"), F.lit(0.0), lambda s, x: s + x * x)
     return rows.agg(F.count("*").alias("n"), F.count_if(F.abs(norm - 1) < 1e-6).alias("unit"), F.count_if(norm == 0).alias("empty"))
+
+
+@query(query.sql["bm25_topk"])
+def bm25_stored_topk(spark, d):
+    """The hits of ``bm25_topk`` from a stored index, whose texts are not read by the search."""
+    index = build_lexical(view(spark, d, "docs").select("doc_id", "text"), "doc_id", "text", block_docs=64)
+    return index.search(view(spark, d, "questions"), "question_id", "question", K).select("question_id", "doc_id", "bm25", "rank")
+
+
+@query()
+def bm25_index_blocks(spark, d):
+    """Per question the blocks with an asked term and how many of them a search for 10 hits reads."""
+    index = build_lexical(view(spark, d, "docs").select("doc_id", "text"), "doc_id", "text", block_docs=64)
+    blocks, _ = index.reading(view(spark, d, "questions"), "question_id", "question", K)
+    return blocks.groupBy("question_id").agg(F.count("*").alias("blocks"), F.count_if("read").alias("read"))
+
+
+@query()
+def hybrid_search_stored(spark, d):
+    """Hybrid search from stored indexes: BM25 postings and a latent space that the questions took no part in."""
+    return build_hybrid(view(spark, d, "docs").select("doc_id", "text"), "doc_id", "text").search(view(spark, d, "questions"), "question_id", "question", K, K)

@@ -56,14 +56,15 @@ def test_latent_vectors_and_dense_queries_take_all_rows(spark):
 
 
 def test_dense_hits_come_from_texts(spark, texts):
-    """Cosines in the latent space of all terms equal those of numpy's decomposition of the same tf-idf matrix."""
+    """Cosines in the latent space of all terms of the documents equal those of numpy's decomposition of their tf-idf matrix."""
     folder, docs, questions = texts
     rows = [(("d", i), grams(t)) for i, t, _ in docs] + [(("q", i), grams(t)) for i, t in questions]
-    terms = sorted({g for _, c in rows for g in c})
+    terms = sorted({g for (side, _), c in rows for g in c if side == "d"})
     tf = np.array([[c[g] for g in terms] for _, c in rows], float)
-    x = tf * (np.log((len(rows) + 1) / ((tf > 0).sum(axis=0) + 1)) + 1)
+    fitted = tf[: len(docs)]
+    x = tf * (np.log((len(fitted) + 1) / ((fitted > 0).sum(axis=0) + 1)) + 1)
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    y = x @ np.linalg.svd(x, full_matrices=False)[2][:3].T
+    y = x @ np.linalg.svd(x[: len(docs)], full_matrices=False)[2][:3].T
     y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-12)
     at = {k: y[n] for n, (k, _) in enumerate(rows)}
     views = [spark.createDataFrame([(i, t) for i, t, *_ in part], "id bigint, text string") for part in (docs, questions)]
