@@ -135,6 +135,32 @@ def temporal_split(spark, d):
     return G.temporal_split(source(spark, d, "events"), "ts").groupBy("part").agg(F.count("*").alias("n"), F.min("event_id").alias("low"), F.max("event_id").alias("high"))
 
 
+_GREEDY = f"""g AS (SELECT term_id, n, row_number() OVER (ORDER BY n DESC, {_HASH.format('term_id')}, CAST(term_id AS varchar)) - 1 AS i FROM (SELECT term_id, count(*) AS n FROM rows GROUP BY 1)),
+t AS (SELECT CAST(0 AS bigint) AS i, CAST([0, 0, 0, 0, 0] AS bigint[]) AS loads, CAST(NULL AS bigint) AS term_id, CAST(NULL AS bigint) AS n, 0 AS fold
+  UNION ALL SELECT i + 1, list_transform(loads, lambda x, j: CASE WHEN j = p THEN x + m ELSE x END), group_id, m, p - 1
+  FROM (SELECT t.i, t.loads, g.term_id AS group_id, g.n AS m, list_position(t.loads, list_min(t.loads)) AS p FROM t JOIN g ON g.i = t.i))
+SELECT term_id, n, CAST(fold AS int) AS fold FROM t WHERE term_id IS NOT NULL"""
+_UNEVEN = "SELECT * FROM pairs WHERE term_id % 7 <> 0 OR item_id % 3 = 0"
+
+
+@query(cte("pairs").replace("WITH ", "WITH RECURSIVE ") + f", rows AS ({_UNEVEN}), {_GREEDY}")
+def balanced_group_folds(spark, d):
+    """Five folds of whole terms, the largest first into the lightest fold; a seventh of the terms is thinned out so that sizes differ."""
+    rows = view(spark, d, "pairs").where("term_id % 7 <> 0 OR item_id % 3 = 0")
+    return G.balanced_group_folds(rows, "term_id", 5).groupBy("term_id", "fold").agg(F.count("*").alias("n")).select("term_id", "n", "fold")
+
+
+@query(
+    cte("pairs")
+    + f""", rows AS ({_UNEVEN}), s AS (SELECT term_id, count(*) AS n FROM rows GROUP BY 1), h AS (SELECT n, count(*) * n AS held FROM s GROUP BY n), u AS (SELECT n, sum(held) OVER (ORDER BY n) AS upto, sum(held) OVER () AS total FROM h)
+SELECT term_id, n, n <= (SELECT coalesce(max(n), 0) FROM u WHERE upto <= 0.2 * total) AS tail FROM s"""
+)
+def tail_terms(spark, d):
+    """Terms with their number of pairs, and whether they are in the tail that holds a fifth of the pairs."""
+    rows = view(spark, d, "pairs").where("term_id % 7 <> 0 OR item_id % 3 = 0")
+    return G.tail_groups(rows, "term_id").groupBy("term_id", "tail").agg(F.count("*").alias("n")).select("term_id", "n", "tail")
+
+
 @query("SELECT o_custkey, count(DISTINCT o_orderkey % 3) AS folds, count(*) AS n FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderkey % 3) > 1")
 def fold_leak_check(spark, d):
     return G.leaking_groups(source(spark, d, "orders").withColumn("fold", F.col("o_orderkey") % 3), "o_custkey")
