@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,24 +45,76 @@ def above_quantile(rows: DataFrame, column: str, p: float) -> DataFrame:
     return rows.where(F.col(column) >= F.lit(cut)).withColumn("cut", F.round(F.lit(cut).cast("double"), 6))
 
 
-def nearest_spelling(words: DataFrame, word: str, dictionary: dict[str, int], distance: int = 2) -> DataFrame:
-    """The dictionary word within ``distance`` edits: the nearest, then the most frequent, then the first; else the word itself.
+def _shortened(word: Column, distance: int, prefix: int) -> Column:
+    """The first ``prefix`` letters of a word, and all that is left of them without up to ``distance`` letters."""
+    without_one = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))
+    found = level = F.array(F.substring(word, 1, prefix))
+    for _ in range(distance):
+        level = F.array_distinct(F.flatten(F.transform(F.filter(level, lambda w: F.length(w) > 0), without_one)))
+        found = F.concat(found, level)
+    return F.array_distinct(found)
+
+
+def spelling_index(dictionary: DataFrame, word: str = "word", count: str = "n", distance: int = 2, prefix: int = 10) -> DataFrame:
+    """(left, entry, count): every dictionary word under all that is left of its prefix without up to ``distance`` letters.
 
-    The dictionary is a short list of literals, looked through once per distinct
-    word.
+    Write it where it is asked more than once.  Two words within ``distance``
+    edits share what is left of their first ``prefix`` letters after as many
+    deletions, so a word has at most 1 + p + p (p - 1) / 2 rows for two edits.
     """
-    entries = F.array(*(F.struct(F.lit(w).alias("w"), F.lit(n).alias("n")) for w, n in sorted(dictionary.items())))
-    scored = F.transform(entries, lambda e: F.struct(F.levenshtein(F.col(word), e["w"]).alias("d"), (-e["n"]).alias("f"), e["w"].alias("w")))
-    best = F.array_min(F.filter(scored, lambda s: s["d"] <= distance))
-    return words.select(word).distinct().withColumns({"corrected": F.coalesce(best["w"], F.col(word)), "edits": F.coalesce(best["d"], F.lit(-1))})
+    return dictionary.where(F.col(word).isNotNull()).select(F.explode(_shortened(F.col(word), distance, prefix)).alias("left"), F.col(word).alias("entry"), F.col(count).alias("count"))
 
 
-def augment_by_dropping(rows: DataFrame, text: str, key: str, copies: int = 1, share: int = 15, seed: str = "0") -> DataFrame:
-    """``copies`` variants of each text with about ``share`` per cent of its words left out, drawn by hash."""
+def nearest_spelling(words: DataFrame, word: str, dictionary: DataFrame, distance: int = 2, prefix: int = 10) -> DataFrame:
+    """(word, corrected, edits): the dictionary word within ``distance`` edits: the nearest, then the most frequent, then the first; else the word itself and -1.
+
+    ``dictionary`` is a table of (word, n) of any size.  Words meet its entries
+    by what both leave after deletions, and only those that meet are compared
+    letter by letter.  One row per distinct word; a null stays null.
+    """
+    asked = words.select(word).distinct()
+    left = asked.where(F.col(word).isNotNull()).select(F.col(word).alias("_word"), F.explode(_shortened(F.col(word), distance, prefix)).alias("left"))
+    met = left.join(spelling_index(dictionary, distance=distance, prefix=prefix), "left").select("_word", "entry", "count").distinct()
+    near = met.withColumn("edits", F.levenshtein("_word", "entry", distance)).where("edits >= 0")
+    best = near.groupBy("_word").agg(F.min(F.struct("edits", (-F.col("count")).alias("rank"), "entry")).alias("best"))
+    found = asked.join(best, F.col(word) == F.col("_word"), "left")
+    return found.select(word, F.coalesce("best.entry", word).alias("corrected"), F.coalesce("best.edits", F.lit(-1)).alias("edits"))
 
-    def drop(c: Column, copy: Column) -> Column:
-        words = F.split(c, r"\s+")
-        kept = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda p: F.pmod(F.xxhash64(F.concat_ws(":", F.lit(seed), F.col(key).cast("string"), copy.cast("string"), p["i"].cast("string"))), F.lit(100)) >= share)
-        return F.when(F.size(kept) > 0, F.array_join(F.transform(kept, lambda p: p["w"]), " ")).otherwise(c)
 
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).withColumn("augmented", drop(F.col(text), F.col("copy")))
+class _Variants:
+    """Variants of one text: words replaced by a synonym half of the time, then left out at a given rate.
+
+    Draws depend on the seed, the key and the number of the try alone.
+    """
+
+    def eval(self, key: str, text: str, synonyms: dict, wanted: int, dropout: float, seed: str):
+        words, seen = (text or "").split(), set()
+        for attempt in range(3 * wanted):
+            if len(seen) == wanted or not words:
+                return
+            draw = random.Random(f"{seed}:{key}:{attempt}")
+            said = [draw.choice(synonyms[w]) if synonyms and w in synonyms and draw.random() < 0.5 else w for w in words]
+            if len(said) > 1:
+                said = [w for w in said if draw.random() > dropout] or [draw.choice(said)]
+            variant = " ".join(said)
+            if variant != text and variant not in seen:
+                seen.add(variant)
+                yield len(seen), variant
+
+
+def augmented_texts(rows: DataFrame, key: str, text: str, synonyms: DataFrame, copies: int = 1, dropout: float = 0.1, seed: str = "0") -> DataFrame:
+    """The rows' columns, ``copy`` and ``augmented``: up to ``copies`` distinct variants of each text, from a table function.
+
+    ``synonyms`` is a table of (word, synonym); a text takes the synonyms of its
+    own words along.  A text without a variant other than itself in three tries
+    per copy gives fewer rows, an empty or null one none.  Rows depend on key and
+    text, not on partitions; rows of one key draw alike.
+    """
+    spark = rows.sparkSession
+    lists = synonyms.groupBy("word").agg(F.array_sort(F.collect_set("synonym")).alias("synonyms"))
+    said = rows.select(F.col(key).alias("_key"), F.explode(F.array_distinct(F.split(F.col(text), r"\s+"))).alias("word")).distinct()
+    own = said.join(lists, "word").groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("word", "synonyms"))).alias("_synonyms"))
+    with_own = rows.join(own, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    spark.udtf.register("text_variants", F.udtf(_Variants, returnType="copy int, augmented string"))
+    call = f"text_variants(CAST(r.`{key}` AS string), r.`{text}`, r._synonyms, {int(copies)}, CAST({float(dropout)} AS double), '{seed}')"
+    return spark.sql(f"SELECT r.*, v.* FROM {{rows}} r, LATERAL {call} v", rows=with_own).drop("_synonyms")

@@ -299,7 +299,32 @@ def fuzzy_similarity(spark, d):
 @query(cte("terms") + """ SELECT DISTINCT word AS word, CASE WHEN levenshtein(word, 'widget') <= 2 THEN 'widget' WHEN levenshtein(word, 'gear') <= 2 THEN 'gear' ELSE word END AS corrected FROM (SELECT unnest(regexp_extract_all(query, '[a-z]+')) AS word FROM terms)""")
 def symspell_nearest(spark, d):
     words = view(spark, d, "terms").select(F.explode(F.regexp_extract_all("query", F.lit("[a-z]+"), F.lit(0))).alias("word"))
-    return forensics.nearest_spelling(words, "word", {"widget": 9, "gear": 5}).select("word", "corrected")
+    dictionary = spark.createDataFrame([("widget", 9), ("gear", 5)], "word string, n int")
+    return forensics.nearest_spelling(words, "word", dictionary).select("word", "corrected")
+
+
+_SPELLED = "regexp_extract_all(lower(coalesce({0}, '')), '[a-z]+')"
+
+
+@query(
+    cte("docs", "questions")
+    + f""", said AS (SELECT word, count(*) AS n FROM (SELECT unnest({_SPELLED.format("text")}) AS word FROM docs) GROUP BY 1), dictionary AS (SELECT * FROM said WHERE n >= 20), asked AS (SELECT DISTINCT unnest({_SPELLED.format("question")}) AS word FROM questions),
+near AS (SELECT a.word, x.word AS entry, n, levenshtein(a.word, x.word) AS edits FROM asked a JOIN dictionary x ON levenshtein(a.word, x.word) <= 2), best AS (SELECT word, entry, edits FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY edits, n DESC, entry) AS r FROM near) WHERE r = 1)
+SELECT word, coalesce(entry, word) AS corrected, CAST(coalesce(edits, -1) AS int) AS edits FROM asked LEFT JOIN best USING (word)"""
+)
+def spelling_corrections(spark, d):
+    """The words of the questions, corrected by a dictionary of the words that the documents hold 20 times or more."""
+    words_of = lambda df, c: df.select(F.explode(F.regexp_extract_all(F.lower(F.coalesce(F.col(c), F.lit(""))), F.lit("[a-z]+"), F.lit(0))).alias("word"))
+    dictionary = words_of(view(spark, d, "docs"), "text").groupBy("word").agg(F.count("*").alias("n")).where("n >= 20")
+    return forensics.nearest_spelling(words_of(view(spark, d, "questions"), "question"), "word", dictionary)
+
+
+@query()
+def augmented_questions(spark, d):
+    """Two variants of every question by synonyms and dropped words; words with the same first three letters stand for synonyms."""
+    words = view(spark, d, "questions").select(F.explode(F.split("question", r"\s+")).alias("word")).where("length(word) > 2").distinct()
+    pairs = words.join(words.select(F.col("word").alias("synonym"), F.substring("word", 1, 3).alias("head")), F.substring("word", 1, 3) == F.col("head")).where("word <> synonym").select("word", "synonym")
+    return forensics.augmented_texts(view(spark, d, "questions"), "question_id", "question", pairs, copies=2).select("question_id", "copy", "augmented")
 
 
 @query(cte("pairs") + " SELECT term_id, min(id) AS low, max(id) AS high, count(*) AS n, max(id) - min(id) AS span FROM pairs GROUP BY 1")
