@@ -426,21 +426,26 @@ def quota_selection(spark, d):
     return rows.groupBy("term_id").agg(F.count("*").alias("seen"), F.count_if(F.col("id") % 3 != 0).alias("taken"))
 
 
-def mined(spark: SparkSession, d: str, depth: int = 30) -> DataFrame:
-    """Candidates of all pools that were looked at, with their decisions, and which of them the quotas took."""
+def mined(spark: SparkSession, d: str) -> DataFrame:
+    """Candidates of all pools that were looked at, with their decisions, and which of them the quotas took.
+
+    A term wants as many negatives of each pool as it has positives, and each
+    pool offers it twelve times as many.
+    """
     items, asked, terms = _searched(spark, d)
     # what all pools read is computed once
     items, intents = cut(items), cut(query_intent(view(spark, d, "terms")))
     positives = view(spark, d, "pairs").where("label = 1")
+    size = cut(positives.groupBy("term_id").agg(F.count("*").alias("n_pos")).withColumn("depth", negatives.request_depth(F.col("n_pos"))))
+    most = size.agg(F.coalesce(F.max("depth"), F.lit(0)).alias("depth")).first().depth
     of_terms = lambda hits: cut(hits.join(terms, "asked").select("term_id", "item_id", "score"))
     cosine = R.tfidf_cosine(items, asked, "item_id", "text", "asked", "query").select("asked", "item_id", F.round("cosine", 6).alias("score"))
-    dense = R.latent_search(items, asked, "item_id", "text", "asked", "query", depth)
-    found = negatives.pool_candidates(intents, items, positives, of_terms(cosine), of_terms(dense), depth)
-    # quotas follow the number of a term's positives
-    size = positives.groupBy("term_id").agg(F.count("*").alias("n_pos"))
+    dense = R.latent_search(items, asked, "item_id", "text", "asked", "query", most)
+    found = negatives.pool_candidates(intents, items, positives, of_terms(cosine), of_terms(dense), size)
     decided = cut(negatives.decided(found).join(size, "term_id"))
     quotas = {pool: F.col("n_pos") for _, pool in negatives.POOLS}
-    return negatives.mine_by_pools(decided, quotas, "term_id", "item_id", "pool", [F.md5(F.concat_ws(":", "pool", "item_id")), F.col("item_id")], F.col("accepted"))
+    place = F.md5(F.concat_ws(":", "pool", "item_id"))
+    return negatives.mine_by_pools(decided, quotas, "term_id", "item_id", "pool", [place, F.col("item_id")], F.col("accepted"), F.conv(F.substring(place, 1, 2), 16, 10).cast("int"))
 
 
 @query()

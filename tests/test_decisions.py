@@ -108,6 +108,35 @@ def test_pools_hold_real_candidates_and_no_known_positive(spark):
     assert (conflict.gender_conflict_flag, conflict.category_match_flag, conflict.brand_match_flag) == (1, False, True)
 
 
+def test_running_sums_by_range_take_what_one_window_takes(spark):
+    rows = spark.createDataFrame([(k, i, i * 7919 % 1000) for k, n in ((1, 500), (2, 40), (None, 30)) for i in range(n)], "k bigint, i bigint, place bigint")
+    order, accepted = [F.col("place"), F.col("i")], F.col("i") % 3 != 0
+    for quota in (1, 25, 1000):
+        one = {tuple(r) for r in N.take_quota(rows, "k", order, accepted, quota).collect()}
+        assert {tuple(r) for r in N.take_quota(rows, "k", order, accepted, quota, (F.col("place") / 100).cast("int")).collect()} == one
+
+
+def test_every_pool_is_deep_enough_for_its_quota(spark):
+    """Two terms of three and five positives among 900 items: each pool offers twelve a wanted negative, and its quota binds."""
+    items = [(i, f"siyah ceket model {i % 50}" if i % 2 else f"beyaz ceket model {i % 50}", "ceket" if i % 3 else "mont", "Nike" if i % 4 else "Puma", "Kadın", "Yetişkin", "renk: siyah" if i % 2 else "renk: beyaz") for i in range(900)]
+    items = with_attributes(spark.createDataFrame(items, "item_id bigint, title string, category string, brand string, gender string, age_group string, attributes string"))
+    terms = query_intent(spark.createDataFrame([(1, "siyah ceket"), (2, "beyaz ceket model")], "term_id bigint, query string"))
+    positives = spark.createDataFrame([(1, i) for i in (1, 5, 7)] + [(2, i) for i in (2, 4, 8, 10, 14)], "term_id bigint, item_id bigint")
+    size = positives.groupBy("term_id").agg(F.count("*").alias("n_pos")).withColumn("depth", N.request_depth(F.col("n_pos")))
+    hits = tfidf_search(items, terms, "item_id", "title", "term_id", "query", 2000)
+    # scores that no rule calls too close, so that a pool's candidates are accepted
+    hits = hits.withColumn("score", F.lit(0.5) + F.col("item_id") / 10000).select("term_id", "item_id", "score")
+    found = N.decided(N.pool_candidates(terms, items, positives, hits, hits, size, far=0.9)).join(size, "term_id")
+    offered = {(r.term_id, r.pool): r.n for r in found.groupBy("term_id", "pool").agg(F.count("*").alias("n")).collect()}
+    for (term, pool), n in offered.items():
+        assert n == {1: 36, 2: 60}[term], pool
+    out = N.mine_by_pools(found, {p: F.col("n_pos") for _, p in N.POOLS}, "term_id", "item_id", "pool", [F.md5(F.col("item_id").cast("string"))], F.col("accepted"), F.conv(F.substring(F.md5(F.col("item_id").cast("string")), 1, 2), 16, 10).cast("int"))
+    taken = {(r.term_id, r.pool): r.n for r in out.groupBy("term_id", "pool").agg(F.sum("selected").alias("n")).collect()}
+    assert len(offered) == len(taken) == 12
+    for (term, _), n in taken.items():
+        assert n == {1: 3, 2: 5}[term]
+
+
 DATA = "/root/testdata/sf0.001"
 
 
