@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,9 @@ from quillon.functions import similarity
 from quillon.functions.attributes import attribute_map_of_json, category_parts
 from quillon.functions.text import char_ngrams, coverage, is_unknown, jaccard, longest_token_span, normalize_text, numeric_tokens, safe_div, shared, symbol_density, text_or_empty, token_set, token_set_ratio, tokens
 
+from .term_weights import TermWeights, TermWeightsModel, sparse_dot
+
+
 def _c(name: str) -> Column:
     return F.col(name)
 
@@ -182,22 +187,39 @@ GROUPS = {"lexical": lexical, "category": category, "brand": brand, "attribute":
 OPTIONAL = {"bm25_score", "bm25_rank", "dense_score", "dense_rank", "category_match_flag", "brand_match_flag", "color_conflict_flag", "material_conflict_flag", "gender_conflict_flag", "age_conflict_flag", "source_pool"}
 
 
-def _semantic(pairs: DataFrame, key: str) -> DataFrame:
-    """TF-IDF cosines of the query with title, full text and category, fitted on the pairs at hand."""
+#: What the semantic features compare a query with.
+_SIDES = {"sem_query_title_cosine": "_title", "sem_query_item_full_text_cosine": "_full", "sem_query_category_cosine": "_category"}
+
+
+def _semantic_texts(pairs: DataFrame, *others: str) -> DataFrame:
     from .item_text import full_item_text
-    from .retrieval import unigrams_bigrams
 
-    out = pairs.select(key).distinct()
-    sides = {"sem_query_title_cosine": _c("title"), "sem_query_item_full_text_cosine": full_item_text(), "sem_query_category_cosine": _c("category")}
-    for name, right in sides.items():
-        texts = pairs.select(key, F.explode(F.array(F.struct(F.lit(0).alias("side"), text_or_empty(_c("query")).alias("x")), F.struct(F.lit(1).alias("side"), text_or_empty(right).alias("x")))).alias("t")).select(key, "t.*")
-        n = pairs.count() * 2
-        tf = texts.select(key, "side", F.explode(unigrams_bigrams(_c("x"))).alias("term")).groupBy(key, "side", "term").agg(F.count("*").alias("tf"))
-        idf = tf.groupBy("term").agg((F.log((1.0 + n) / (1 + F.count("*"))) + 1).alias("idf"))
-        w = tf.join(idf, "term").groupBy(key, "term").agg(*(F.sum(F.when(_c("side") == s, _c("tf") * _c("idf")).otherwise(0.0)).alias(f"w{s}") for s in (0, 1)))
-        sums = w.groupBy(key).agg(*(F.sum(a * b).alias(c) for c, a, b in (("d", _c("w0"), _c("w1")), ("a", _c("w0"), _c("w0")), ("b", _c("w1"), _c("w1")))))
-        out = out.join(sums.select(key, F.coalesce(F.try_divide(_c("d"), F.sqrt("a") * F.sqrt("b")), F.lit(0.0)).alias(name)), key, "left").na.fill(0.0, [name])
-    return out
+    return pairs.select(*others, text_or_empty(_c("query")).alias("_query"), text_or_empty(_c("title")).alias("_title"), text_or_empty(full_item_text()).alias("_full"), text_or_empty(_c("category")).alias("_category"))
+
+
+def fit_semantic(pairs: DataFrame) -> dict[str, TermWeightsModel]:
+    """Term statistics of the pairs' queries with their titles, full texts and categories, for ``semantic_features``."""
+    texts = _semantic_texts(pairs)
+    return {name: TermWeights(["_query", side]).fit(texts) for name, side in _SIDES.items()}
+
+
+def semantic_features(pairs: DataFrame, key: str, models: dict[str, TermWeightsModel] | None = None) -> DataFrame:
+    """TF-IDF cosines of the query with title, full text and category, by the given statistics or by those of the pairs at hand.
+
+    A row per pair; weights are worked out once per distinct text.
+    """
+    out = _semantic_texts(pairs, key)
+    for name, model in (models or fit_semantic(pairs)).items():
+        weighed = model.weights(model.weights(out, "_query", "_q"), _SIDES[name], "_i")
+        out = weighed.transform(sparse_dot("_q", "_i", name)).drop("_q", "_i")
+    return out.select(key, *_SIDES)
+
+
+def out_of_fold_semantic(pairs: DataFrame, key: str, fold: str = "fold") -> DataFrame:
+    """The semantic features of every fold, by statistics of the other folds alone."""
+    folds = [r[0] for r in pairs.select(fold).distinct().collect()]
+    parts = [semantic_features(pairs.where(_c(fold) == f), key, fit_semantic(pairs.where(_c(fold) != f))) for f in folds]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def pair_features(pairs: DataFrame, key: str = "id", groups: tuple[str, ...] = (*GROUPS, "fuzzy", "semantic")) -> DataFrame:
@@ -215,7 +237,8 @@ def pair_features(pairs: DataFrame, key: str = "id", groups: tuple[str, ...] = (
     if "fuzzy" in groups:
         out = similarity.on_distinct_pairs(out, "query", "title", lex_fuzzy_ratio=similarity.seq_ratio, lex_token_sort_ratio=similarity.token_sort_ratio)
     if "semantic" in groups:
-        out = out.join(_semantic(pairs, key), key, "left")
+        # a key's rows are alike in the texts of a pair
+        out = out.join(semantic_features(pairs.dropDuplicates([key]), key), key, "left")
     return out.drop("query", "title")
 
 

@@ -7,13 +7,11 @@ from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import HashingTF, Normalizer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .retrieval import unigrams_bigrams
-
 
 #: Rows of a partition while models train.
 PARTITION_ROWS = 50_000
@@ -33,10 +31,6 @@ def tabular_pipeline(columns: list[str], label: str = "label", iterations: int =
     return Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="keep"), GBTClassifier(labelCol=label, maxIter=iterations, maxDepth=4, stepSize=0.1, seed=seed)])
 
 
-def text_pipeline(terms: str = "terms", label: str = "label") -> Pipeline:
-    return Pipeline(stages=[HashingTF(inputCol=terms, outputCol="tf", numFeatures=1 << 16), Normalizer(inputCol="tf", outputCol="features"), LogisticRegression(labelCol=label, weightCol="weight", regParam=0.01, maxIter=30)])
-
-
 def out_of_fold(rows: DataFrame, pipeline: Pipeline, folds: int, key: str = "id", label: str = "label", model: str = "model") -> DataFrame:
     """(key, label, fold, proba, model_name): each fold scored by a model of the other folds.
 
@@ -78,20 +72,24 @@ def stacked(wide: DataFrame, models: list[str], folds: int, fold: str = "fold",
     return reduce(DataFrame.unionByName, parts)
 
 
-def text_terms(rows: DataFrame, query: str = "query", item: str = "title") -> DataFrame:
-    """Adds ``terms``: uni- and bigrams of query, item and their pair, told apart by a prefix."""
-    pair = F.concat_ws(" [SEP] ", F.col(query), F.col(item))
-
-    def led_by(mark: str):
-        return lambda t: F.concat(F.lit(mark), t)
-
-    marked = [F.transform(unigrams_bigrams(c), led_by(p)) for p, c in (("q ", F.col(query)), ("i ", F.col(item)), ("p ", pair))]
-    return rows.withColumn("terms", F.concat(*marked))
-
-
 def importance(model, columns: list[str]) -> list[tuple[str, float]]:
     """Feature importances of a fitted tabular pipeline, largest first; zeros for a model without any."""
     stage = model.stages[-1]
     values = stage.featureImportances.toArray() if hasattr(stage, "featureImportances") else [0.0] * len(columns)
     return sorted(zip(columns, map(float, values), strict=True), key=lambda x: (-x[1], x[0]))
 
+
+def mean_importance(rows: DataFrame, pipelines: dict[str, tuple[Pipeline, list[str]]], folds: int, fold: str = "fold") -> DataFrame:
+    """(feature, importance): the mean importance over the models of all folds and pipelines, largest first.
+
+    Each model is trained on the rows outside its fold.  A feature that a model
+    does not use counts as 0 there.
+    """
+    names = sorted({c for _, columns in pipelines.values() for c in columns})
+    found = []
+    for f in range(folds):
+        train = rows.where(F.col(fold) != f)
+        for pipeline, columns in pipelines.values():
+            own = dict(importance(pipeline.fit(train), columns))
+            found += [(name, own.get(name, 0.0)) for name in names]
+    return rows.sparkSession.createDataFrame(found, "feature string, value double").groupBy("feature").agg(F.avg("value").alias("importance")).orderBy(F.desc("importance"), "feature")

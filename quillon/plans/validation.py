@@ -260,10 +260,21 @@ def gbt_oof(spark, d):
 
 @query()
 def logreg_oof(spark, d):
-    """Out-of-fold logistic regression over hashed uni- and bigrams of labelled documents."""
-    from quillon.operators.models import balanced_weights, out_of_fold, text_pipeline, text_terms
+    """Out-of-fold logistic regression over the exact words and word pairs of labelled documents, weighted by the training folds."""
+    from quillon.operators.models import out_of_fold
+    from quillon.operators.term_weights import pair_text_pipeline
 
-    rows = view(spark, d, "scored").drop("fold").join(view(spark, d, "docs").select(F.col("doc_id").alias("id"), F.col("text").alias("title")), "id").withColumn("query", F.col("lang"))
-    rows = balanced_weights(G.stratified_folds(text_terms(rows), "label", "id", 2))
-    oof = out_of_fold(rows.select("id", "label", "fold", "terms", "weight"), text_pipeline(), 2, model="logreg")
+    rows = view(spark, d, "scored").drop("fold").join(view(spark, d, "docs").select(F.col("doc_id").alias("id"), F.col("text").alias("item")), "id").withColumn("query", F.col("lang"))
+    rows = G.stratified_folds(rows.withColumn("pair", F.concat_ws(" [SEP] ", "query", "item")), "label", "id", 2)
+    oof = out_of_fold(rows.select("id", "label", "fold", "query", "item", "pair"), pair_text_pipeline(), 2, model="logreg")
     return oof.groupBy("fold", "model_name").agg(F.count("*").alias("n"), F.count_if(F.col("proba").between(0, 1)).alias("in_range"))
+
+
+@query()
+def feature_importance(spark, d):
+    """Mean importance of three features over the folds' boosted trees."""
+    from quillon.operators.models import mean_importance, tabular_pipeline
+
+    columns = ["proba", "proba_b", "n_chars"]
+    rows = G.stratified_folds(view(spark, d, "scored").drop("fold"), "label", "id", 2)
+    return mean_importance(rows, {"all": (tabular_pipeline(columns, iterations=4), columns), "two": (tabular_pipeline(columns[:2], iterations=4), columns[:2])}, 2).select("feature", F.round("importance", 6).alias("importance"))

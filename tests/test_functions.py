@@ -9,7 +9,6 @@ from quillon.functions import text as X
 from quillon.functions.attributes import attribute_map_of_json, leaf_category, with_attributes
 from quillon.functions.intent import query_intent
 from quillon.operators import blending, decisions, folds, metrics, negatives
-from quillon.operators.models import importance  # noqa: F401
 from quillon.sources.contracts import CONTRACTS, validated, violations
 
 
