@@ -9,6 +9,7 @@ from quillon.operators import decisions as D
 from quillon.operators import registry as G
 from quillon.operators.blending import normalized_weight
 from quillon.operators.joins import star_join
+from quillon.streaming.answers import answered
 from quillon.streaming.windows import sessions, tumbling_counts
 
 from .catalog import Registry, cte, source, view
@@ -370,3 +371,18 @@ def event_windows(spark, d):
 s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM o) SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 minutes AS "end", count(*) AS n FROM s GROUP BY user_id, s""")
 def user_sessions(spark, d):
     return sessions(source(spark, d, "events"))
+
+
+_REQUESTS = "SELECT event_id AS request_id, concat(event_type, ' ', CAST(user_id % 3 AS varchar(3))) AS query, ts FROM events"
+
+
+@query(
+    f"""WITH RECURSIVE r AS ({_REQUESTS}), n AS (SELECT *, min(ts) OVER (PARTITION BY query ORDER BY ts RANGE BETWEEN INTERVAL 900 SECONDS FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt FROM r),
+d AS (SELECT query, ts, any_value(nxt) AS nxt FROM n GROUP BY ALL), c AS (SELECT query, min(ts) AS ts FROM r GROUP BY 1 UNION ALL SELECT c.query, d.nxt FROM c JOIN d ON d.query = c.query AND d.ts = c.ts WHERE d.nxt IS NOT NULL),
+f AS (SELECT query, ts, min(request_id) AS request_id FROM r JOIN c USING (query, ts) GROUP BY ALL)
+SELECT r.request_id, r.query, r.ts, CAST(length(r.query) AS double) AS score, f.request_id IS NULL AS cached FROM r LEFT JOIN f USING (query, ts, request_id)"""
+)
+def scored_requests(spark, d):
+    """Events as requests; the score of a query is remembered for 900 seconds. The same function serves a stream."""
+    requests = source(spark, d, "events").selectExpr("event_id AS request_id", "concat(event_type, ' ', CAST(user_id % 3 AS string)) AS query", "ts")
+    return answered(requests, lambda texts: texts.str.len().astype("float64"))
