@@ -26,6 +26,8 @@ FLAG_TAGS = {
 def error_tags(rows: DataFrame, threshold: float = 0.5, proba: str = "proba", label: str = "label") -> DataFrame:
     """Each row with ``pred``, ``is_error``, ``error_type``, ``confidence`` and its sorted ``tags``.
 
+    ``_query_set`` and ``_title_set``, if the rows have them, are the distinct
+    words of both sides, split before they met; else both are split here.
     A column that is absent or null counts as 0 or empty; a row without any tag
     is a vocabulary issue if query and title share no word, else an ambiguity.
     """
@@ -33,7 +35,7 @@ def error_tags(rows: DataFrame, threshold: float = 0.5, proba: str = "proba", la
     on = lambda c: (F.coalesce(F.col(c).cast("double"), F.lit(0.0)) != 0) if c in held else F.lit(False)
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in held else F.lit("")
     p = F.coalesce(F.col(proba), F.lit(0.5))
-    rows = rows.withColumns({"pred": (p >= threshold).cast("int"), "_q": token_set(text("query")), "_t": token_set(text("title"))})
+    rows = rows.withColumns({"pred": (p >= threshold).cast("int"), "_q": F.col("_query_set") if "_query_set" in held else token_set(text("query")), "_t": F.col("_title_set") if "_title_set" in held else token_set(text("title"))})
     wrong, relevant = F.col("pred") != F.col(label), F.col(label) == 1
     words, apart = F.size("_q"), ~F.arrays_overlap("_q", "_t")
     overlap = F.coalesce(F.col("cat_token_overlap_count"), F.lit(0)) == 0 if "cat_token_overlap_count" in held else F.lit(True)
@@ -42,7 +44,7 @@ def error_tags(rows: DataFrame, threshold: float = 0.5, proba: str = "proba", la
         "category_mismatch": overlap & on("has_category_token") & wrong,
         "title_ambiguity": (F.size("_t") <= 2) | ((words > 0) & apart & wrong),
         "query_ambiguity": on("is_short_query") | (words <= 2),
-        "missing_attribute_issue": (normalize_text(text("attributes")) == "") | on("attr_color_missing_when_query_has_color") | on("attr_material_missing_when_query_has_material"),
+        "missing_attribute_issue": ~text("attributes").rlike(r"\S") | on("attr_color_missing_when_query_has_color") | on("attr_material_missing_when_query_has_material"),
         "false_negative_sampling_issue": relevant & ~text("negative_type").isin("", "positive"),
         "retrieval_source_issue": text("source_pool").isin(*RETRIEVED) & wrong,
         "threshold_error": F.abs(p - threshold) <= 0.05,
@@ -57,7 +59,7 @@ def error_tags(rows: DataFrame, threshold: float = 0.5, proba: str = "proba", la
             "confidence": F.round(F.abs(p - 0.5) * 2, 6),
             "tags": F.when(F.size("tags") > 0, F.col("tags")).otherwise(F.array(rest)),
         }
-    ).drop("_q", "_t")
+    ).drop("_q", "_t", "_query_set", "_title_set")
 
 
 def tag_counts(errors: DataFrame) -> DataFrame:

@@ -26,11 +26,18 @@ def _piped(name: str) -> Column:
     return F.filter(F.split(text_or_empty(_c(name)), r"\|"), lambda v: v != "")
 
 
-def lexical() -> dict[str, Column]:
-    q, t = tokens(_c("query")), tokens(_c("title"))
-    qs, ts = token_set(_c("query")), token_set(_c("title"))
-    qn, tn = normalize_text(_c("query")), normalize_text(_c("title"))
-    q3, t3 = char_ngrams(_c("query")), char_ngrams(_c("title"))
+#: What the lexical features take of a text.
+_SPLITS = {"tokens": tokens, "set": token_set, "norm": normalize_text, "grams": char_ngrams}
+
+
+def split_text(rows: DataFrame, column: str) -> DataFrame:
+    """Adds what the lexical features take of a text, so that a table of queries or items is split once and not each of its pairs."""
+    return rows.withColumns({f"_{column}_{name}": split(_c(column)) for name, split in _SPLITS.items()})
+
+
+def lexical(split: bool = False) -> dict[str, Column]:
+    """Features of a query and a title; ``split`` says that both sides went through ``split_text`` before they met."""
+    (q, qs, qn, q3), (t, ts, tn, t3) = ([_c(f"_{c}_{name}") if split else take(_c(c)) for name, take in _SPLITS.items()] for c in ("query", "title"))
     span = longest_token_span(q, t)
     return {
         "lex_token_overlap_count": shared(qs, ts),

@@ -80,15 +80,20 @@ def bm25_search(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, que
 
 def unigrams_bigrams(c: Column) -> Column:
     """Tokens of two word characters or more in lower case, then their bigrams."""
-    t = F.regexp_extract_all(F.lower(text_or_empty(c)), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
-    n = F.greatest(F.size(t) - 1, F.lit(0))
-    return F.concat(t, F.zip_with(F.slice(t, F.lit(1), n), F.slice(t, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b)))
+    words = F.regexp_extract_all(F.lower(text_or_empty(c)), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
+
+    def with_pairs(t: Column) -> Column:
+        n = F.greatest(F.size(t) - 1, F.lit(0))
+        return F.concat(t, F.zip_with(F.slice(t, F.lit(1), n), F.slice(t, F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b)))
+
+    # an array of one, so that the text is split once for all that is made of its words
+    return F.get(F.transform(F.array(words), with_pairs), 0)
 
 
 def tfidf_cosine(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query: str) -> DataFrame:
     """(query, doc, cosine) with weights tf * (ln((1 + n) / (1 + df)) + 1) fitted on the documents."""
     n = docs.count()
-    p = postings(docs, doc_id, text, tokenize=unigrams_bigrams).persist()
+    p = postings(docs, doc_id, text, tokenize=unigrams_bigrams).select(doc_id, "term", "tf").persist()
     idf = p.groupBy("term").agg((F.log((1 + n) / (1 + F.count("*"))) + 1).alias("idf"))
     weighted = p.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
     norm = weighted.groupBy(doc_id).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))

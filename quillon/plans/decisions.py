@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from quillon.functions.text import token_set
 from quillon.operators import decisions as D
 from quillon.operators import registry as G
 from quillon.operators.blending import normalized_weight
@@ -58,7 +59,10 @@ def _wide(spark, d):
 
 
 def _errors(spark, d):
-    return D.error_tags(_wide(spark, d).selectExpr("id", "label", "query", "title", "attributes", *_FLAGS))
+    terms = view(spark, d, "terms").withColumn("_query_set", token_set(F.col("query")))
+    items = view(spark, d, "items").withColumn("_title_set", token_set(F.col("title")))
+    wide = star_join(view(spark, d, "pairs"), terms, items, check=False)
+    return D.error_tags(wide.selectExpr("id", "label", "query", "title", "attributes", "_query_set", "_title_set", *_FLAGS))
 
 
 @query(_ERRORS + " SELECT id, CAST(wrong AS int) AS is_error, error_type, confidence, array_to_string(tags, '|') AS tags FROM f")

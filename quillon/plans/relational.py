@@ -113,10 +113,11 @@ SELECT id, {_both("qs", "ts")} AS overlap, round({_div(_both("qs", "ts"), "len(l
     ELSE greatest({_div(_both("qs", "ts"), "len(qs)")}, {_div(_both("qs", "ts"), "len(ts)")}, {_div("2 * " + _both("qs", "ts"), "(len(qs) + len(ts))")}) END, 6) AS token_set FROM s"""
 )
 def lexical_overlap_features(spark, d):
-    f = features.lexical()
+    f = features.lexical(split=True)
     names = {"overlap": "lex_token_overlap_count", "jaccard": "lex_token_overlap_ratio", "query_coverage": "lex_query_coverage_ratio", "title_coverage": "lex_title_coverage_ratio", "phrase": "lex_exact_phrase_match_flag", "partial": "lex_partial_substring_match_flag", "early": "lex_first_token_early_match_flag", "token_set": "lex_token_set_ratio"}
     ratios = {"jaccard", "query_coverage", "title_coverage", "token_set"}
-    return _wide(spark, d).select("id", *((F.round(f[c], 6) if n in ratios else f[c]).alias(n) for n, c in names.items()))
+    terms, items = features.split_text(view(spark, d, "terms"), "query"), features.split_text(view(spark, d, "items"), "title")
+    return joins.star_join(view(spark, d, "pairs"), terms, items, check=False).select("id", *((F.round(f[c], 6) if n in ratios else f[c]).alias(n) for n, c in names.items()))
 
 
 def _grams(c: str) -> str:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillon.operators import retrieval as R
 from quillon.operators.index_store import build_hybrid, build_lexical
+from quillon.operators.joins import cut
 from quillon.operators.latent import fit_latent
 
 from .catalog import Registry, cte, view
@@ -95,8 +96,9 @@ _VECTOR_HITS = f"""{_TFIDF.replace("n AS (SELECT count(*) AS n FROM docs), ", ""
 
 
 def _hits(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    bm = _bm25(spark, d).withColumnRenamed("bm25", "score").select("question_id", "doc_id", "score", "rank").persist()
-    return bm, R.tfidf_search(view(spark, d, "docs"), view(spark, d, "questions"), "doc_id", "text", "question_id", "question", K).persist()
+    bm = _bm25(spark, d).withColumnRenamed("bm25", "score").select("question_id", "doc_id", "score", "rank")
+    # a few rows per question, which both branches of a fusion read
+    return cut(bm), cut(R.tfidf_search(view(spark, d, "docs"), view(spark, d, "questions"), "doc_id", "text", "question_id", "question", K))
 
 
 @query(
@@ -157,7 +159,7 @@ def retrieval_eval_overlap(spark, d):
 def _latent_hits(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """BM25 hits, and dense hits of all documents in one latent space; SQL cannot repeat its decomposition."""
     dense = R.latent_search(view(spark, d, "docs"), view(spark, d, "questions"), "doc_id", "text", "question_id", "question", K)
-    return _bm25(spark, d).select("question_id", "doc_id", F.col("bm25").alias("score"), "rank").persist(), dense.persist()
+    return _bm25(spark, d).select("question_id", "doc_id", F.col("bm25").alias("score"), "rank"), cut(dense)
 
 
 @query()
