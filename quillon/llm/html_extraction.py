@@ -270,15 +270,38 @@ class Page:
         return "\n".join(self.blocks[i][1] for i in own)
 
     def best(self, host_paths: list[str] | None) -> str | None:
-        """The host's first path that holds enough of this page, else the page's own best."""
+        """The host's first path that holds enough of this page, else the page's own best.
+
+        A page without prose, such as a table or a few short lines, is read at
+        the host's first path that holds more text than links, else at the
+        article or main part that holds most.
+        """
         own = self.votes()
         if not own:
-            return None
+            held = self._unlinked()
+            for path in host_paths or ():
+                if held.get(path, (0.0, False))[0] > 0:
+                    return path
+            named = sorted(((-n, path.count("/"), path) for path, (n, name) in held.items() if name and n > 0))
+            return named[0][2] if named else None
         for path in host_paths or ():
             if self.scores.get(path, 0.0) >= SHARE * own[0][1]:
                 return path
         return own[0][0]
 
+    def _unlinked(self) -> dict[str, tuple[float, bool]]:
+        """Per path how much more text than link text it holds, and whether it is named as an article's."""
+        total = [0.0] * len(self.containers)
+        for c, text, linked, _ in self.blocks:
+            total[c] += len(text) * (1.0 - 2.0 * linked)
+        for c in range(len(total) - 1, 0, -1):
+            total[self.containers[c][0]] += total[c]
+        found: dict[str, tuple[float, bool]] = {}
+        for (_, path, named), n in zip(self.containers, total, strict=True):
+            before = found.get(path, (0.0, False))
+            found[path] = before[0] + n, before[1] or named
+        return found
+
 
 def host_of(url: str):
     """The host of a URL column in lower case, without user and port; null where there is none."""
