@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,23 +120,32 @@ def attribute() -> dict[str, Column]:
     return out | {"attr_conflict_count": conflicts}
 
 
+#: Per cue of a query the parts of an item's text that answer it, and whole texts that do.
+_GENDER_ANSWERS = {"female": (("kad", "female"), ()), "male": (("erkek",), ("male",)), "unisex": (("unisex",), ())}
+_AGE_ANSWERS = {"baby": (("bebek", "baby"), ()), "child": (("çocuk", "cocuk", "child", "bebek"), ()), "school_age": (("çocuk", "cocuk", "child", "bebek"), ())}
+
+
+def _answers(column: str, table: dict[str, tuple[tuple[str, ...], tuple[str, ...]]]) -> dict[str, Column]:
+    """For each cue whether the item's column answers it."""
+    said = normalize_text(_c(column))
+    return {cue: reduce(or_, [*(said.contains(p) for p in parts), *(said == w for w in wholes)]) for cue, (parts, wholes) in table.items()}
+
+
 def gender_age() -> dict[str, Column]:
-    g, a = normalize_text(_c("gender")), normalize_text(_c("age_group"))
-    qg, qa = _piped("detected_gender_candidates"), _piped("detected_age_candidates")
-    has = F.array_contains
-    female, male, unisex = g.contains("kad") | g.contains("female"), g.contains("erkek") | (g == "male"), g.contains("unisex")
-    baby = a.contains("bebek") | a.contains("baby")
-    child = a.contains("çocuk") | a.contains("cocuk") | a.contains("child") | a.contains("bebek")
-    return {
-        "gender_query_has_cue": _flag(F.size(qg) > 0),
-        "age_query_has_cue": _flag(F.size(qa) > 0),
-        "gender_item_unknown_flag": _flag(is_unknown(_c("gender"))),
-        "age_item_unknown_flag": _flag(is_unknown(_c("age_group"))),
-        "gender_exact_match_flag": _flag((has(qg, "female") & female) | (has(qg, "male") & male) | (has(qg, "unisex") & unisex)),
-        "gender_conflict_flag": _flag(((has(qg, "female") & male) | (has(qg, "male") & female)) & ~unisex),
-        "age_exact_match_flag": _flag((has(qa, "baby") & baby) | (has(qa, "child") & child) | (has(qa, "school_age") & child)),
-        "age_conflict_flag": _flag((has(qa, "baby") & ~baby) | (has(qa, "child") & ~child)),
-        "gender_item_unisex_flag": _flag(unisex),
+    """Cues of the query against what the item says, from two tables of answers."""
+    out: dict[str, Column] = {}
+    wanted: dict[str, Column] = {}
+    for name, source, table in (("gender", "gender", _GENDER_ANSWERS), ("age", "age_group", _AGE_ANSWERS)):
+        cues = _piped(f"detected_{name}_candidates")
+        wanted |= {cue: F.array_contains(cues, cue) for cue in table}
+        met = [wanted[cue] & answer for cue, answer in _answers(source, table).items()]
+        out |= {f"{name}_query_has_cue": _flag(F.size(cues) > 0), f"{name}_item_unknown_flag": _flag(is_unknown(_c(source))), f"{name}_exact_match_flag": _flag(reduce(or_, met))}
+    item = _answers("gender", _GENDER_ANSWERS) | _answers("age_group", _AGE_ANSWERS)
+    opposed = (wanted["female"] & item["male"]) | (wanted["male"] & item["female"])
+    return out | {
+        "gender_conflict_flag": _flag(opposed & ~item["unisex"]),
+        "age_conflict_flag": _flag(reduce(or_, [wanted[cue] & ~item[cue] for cue in ("baby", "child")])),
+        "gender_item_unisex_flag": _flag(item["unisex"]),
     }
 
 

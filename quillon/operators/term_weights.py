@@ -122,7 +122,7 @@ class BalancedLogistic(Estimator, HasFeaturesCol, HasLabelCol):
 
     C = Param(Params._dummy(), "C", "weight of the loss against the penalty", typeConverter=TypeConverters.toFloat)
 
-    def __init__(self, C: float = 4.0, featuresCol: str = "features", labelCol: str = "label", maxIter: int = 200) -> None:
+    def __init__(self, C: float = 4.0, featuresCol: str = "features", labelCol: str = "label", maxIter: int = 100) -> None:
         super().__init__()
         self.maxIter = maxIter
         self._set(C=C, featuresCol=featuresCol, labelCol=labelCol)
@@ -132,7 +132,7 @@ class BalancedLogistic(Estimator, HasFeaturesCol, HasLabelCol):
 
         features, label = self.getFeaturesCol(), self.getLabelCol()
         n = dataset.count()
-        plain = LogisticRegression(featuresCol=features, labelCol=label, weightCol="weight", standardization=False, regParam=1.0 / (self.getOrDefault(self.C) * max(1, n)), maxIter=self.maxIter, tol=1e-9)
+        plain = LogisticRegression(featuresCol=features, labelCol=label, weightCol="weight", standardization=False, regParam=1.0 / (self.getOrDefault(self.C) * max(1, n)), maxIter=self.maxIter, tol=1e-7)
         return plain.fit(balanced_weights(dataset.drop("weight"), label))
 
 

@@ -268,20 +268,20 @@ def _searched(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFr
 
 
 def _retrieved_pairs(spark: SparkSession, d: str, top: int = 100) -> DataFrame:
-    """Distinct (term, item) pairs with the scores and ranks of the query's ``top`` BM25 and dense hits of all items, and their flags."""
+    """All pairs with the scores and ranks of the query's ``top`` BM25 and dense hits of all items, and their flags."""
     items, asked, terms = _searched(spark, d)
     bm = R.bm25_search(items, asked, "item_id", "text", "asked", "query", top).select("asked", "item_id", F.col("bm25").alias("bm25_score"), F.col("rank").alias("bm25_rank"))
     dense = R.latent_search(items, asked, "item_id", "text", "asked", "query", top).select("asked", "item_id", F.col("score").alias("dense_score"), F.col("rank").alias("dense_rank"))
     hits = bm.join(dense, ["asked", "item_id"], "full").join(terms, "asked").drop("asked")
-    pairs = _intent_pairs(spark, d).dropDuplicates(["term_id", "item_id"]).join(hits, ["term_id", "item_id"], "left")
+    pairs = _intent_pairs(spark, d).join(hits, ["term_id", "item_id"], "left")
     match = {"category_match_flag": features.category()["cat_token_overlap_count"] > 0, "brand_match_flag": features.brand()["brand_exact_match"] > 0}
     return pairs.withColumns({**{n: c.cast("int") for n, c in match.items()}, **negatives.conflict_flags(), "source_pool": F.lit("official_training_pairs")})
 
 
 @query()
 def pair_features_all(spark, d):
-    """All feature groups over the distinct (term, item) pairs, summed up per feature."""
-    wide = features.pair_features(_retrieved_pairs(spark, d).persist())
+    """All feature groups over all pairs, summed up per feature."""
+    wide = features.pair_features(cut(_retrieved_pairs(spark, d)))
     names = [c for c in wide.columns if c != "id"]
     each = F.explode(F.array(*(F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in names)))
     return wide.select(each.alias("x")).groupBy("x.feature").agg(F.count("x.value").alias("n"), F.round(F.avg("x.value"), 6).alias("mean"))
