@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from quillon.functions.text import text_or_empty
 from quillon.sources.work import Work, saved, shared_folder
 
+from .joins import cut
 from .numbering import numbered
 from .retrieval import unigrams_bigrams
 
@@ -131,9 +132,11 @@ class BalancedLogistic(Estimator, HasFeaturesCol, HasLabelCol):
         from .models import balanced_weights
 
         features, label = self.getFeaturesCol(), self.getLabelCol()
+        # the features come from joins and are read by each step of the fit
+        dataset = cut(dataset.select(features, label))
         n = dataset.count()
         plain = LogisticRegression(featuresCol=features, labelCol=label, weightCol="weight", standardization=False, regParam=1.0 / (self.getOrDefault(self.C) * max(1, n)), maxIter=self.maxIter, tol=1e-7)
-        return plain.fit(balanced_weights(dataset.drop("weight"), label))
+        return plain.fit(balanced_weights(dataset, label))
 
 
 def pair_text_pipeline(query: str = "query", item: str = "item", pair: str = "pair", label: str = "label", C: float = 4.0) -> Pipeline:
