@@ -24,7 +24,7 @@ from quillon.sources.work import Work, saved, shared_folder
 from .joins import cut
 from .latent import LatentSpace, fit_latent
 from .numbering import numbered
-from .retrieval import dense_search, hybrid, query_terms, spread, top_k
+from .retrieval import dense_search, hybrid, query_terms, spread, term_search, top_k
 
 #: Folders of postings, and documents from which on each is written as one more file.
 BUCKETS, FILE_DOCS = 64, 1_000_000
@@ -60,13 +60,16 @@ class LexicalIndex:
         met = heads.join(F.broadcast(self._asked(queries, query_id, query)), ["bucket", "term"])
         return met.groupBy(query_id, "block").agg(F.sum(F.col("weight") * F.col("most")).alias("bound"))
 
+    def _part(self):
+        """What one occurrence list of a document gives a term of weight 1."""
+        tf, dl = F.col("tf"), F.col("dl")
+        return tf * (self.k1 + 1) / (tf + self.k1 * (1 - self.b + self.b * dl / (self.avgdl or 1.0)))
+
     def _scores(self, blocks: DataFrame, asked: DataFrame, query_id: str, excluded: DataFrame | None, places: int) -> DataFrame:
         wanted = blocks.select(query_id, "block").join(asked, query_id)
-        met = self.postings.drop("most").join(F.broadcast(wanted), ["bucket", "term", "block"])
+        met = self.postings.drop("most").join(wanted, ["bucket", "term", "block"])
         each = met.select(query_id, "weight", F.inline(F.arrays_zip("docs", "tf", "dl")))
-        tf, dl = F.col("tf"), F.col("dl")
-        part = F.col("weight") * tf * (self.k1 + 1) / (tf + self.k1 * (1 - self.b + self.b * dl / (self.avgdl or 1.0)))
-        scored = each.groupBy(query_id, F.col("docs").alias(self.doc_id)).agg(F.round(F.sum(part), places).alias("bm25")).where("bm25 > 0")
+        scored = each.groupBy(query_id, F.col("docs").alias(self.doc_id)).agg(F.round(F.sum(F.col("weight") * self._part()), places).alias("bm25")).where("bm25 > 0")
         return scored if excluded is None else scored.join(excluded, [query_id, self.doc_id], "left_anti")
 
     def reading(self, queries: DataFrame, query_id: str, query: str, k: int, first: int = 4, excluded: DataFrame | None = None, places: int = 6) -> tuple[DataFrame, DataFrame]:
@@ -87,11 +90,17 @@ class LexicalIndex:
     def search(self, queries: DataFrame, query_id: str, query: str, k: int, first: int = 4, excluded: DataFrame | None = None, places: int = 6) -> DataFrame:
         """(query, doc, bm25, rank): the same hits as ``bm25_search`` of the documents; (query, doc) pairs in ``excluded`` are left out.
 
-        The queries are taken to be few enough to be broadcast with their terms;
-        cut a larger set into parts.
+        Blocks that some query has to read are scored against all queries, a
+        bounded number of documents and queries in a task, and only the hits go
+        on.  The queries are taken to be few enough to be broadcast with their
+        terms; cut a larger set into parts.
         """
-        _, scores = self.reading(queries, query_id, query, k, first, excluded, places)
-        return top_k(scores, query_id, [F.desc("bm25"), F.asc(self.doc_id)], k)
+        asked = cut(self._asked(queries, query_id, query))
+        blocks, _ = self.reading(queries, query_id, query, k, first, excluded, places)
+        read = cut(blocks.where("read").select("block").distinct())
+        lists = self.postings.join(asked.select("bucket", "term").distinct(), ["bucket", "term"], "left_semi").join(read, "block", "left_semi")
+        p = lists.select("term", F.inline(F.arrays_zip("docs", "tf", "dl"))).select(F.col("docs").alias(self.doc_id), "term", self._part().alias("x"))
+        return term_search(p, asked.select(query_id, "term", F.col("weight").alias("w")), self.n, self.doc_id, query_id, k, places, "bm25", excluded=excluded)
 
 
 def build_lexical(docs: DataFrame, doc_id: str, text: str, folder: str | None = None, k1: float = 1.5, b: float = 0.75, block_docs: int = 256) -> LexicalIndex:
