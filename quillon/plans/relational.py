@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.functions import text as X
-from quillon.functions.attributes import category_parts, key_values, leaf_category, parse_attributes, with_attributes
+from quillon.functions.attributes import attribute_maps, category_parts, key_values, leaf_category, with_attributes
 from quillon.functions.intent import add_query_intent, dictionaries_of, query_intent, segment
 from quillon.operators import features, forensics, item_text, joins, negatives
 from quillon.operators import retrieval as R
@@ -192,8 +192,10 @@ def attribute_parse(spark, d):
   UNION ALL SELECT 'size', CAST(size AS varchar) FROM items UNION ALL SELECT 'style', 'classic' FROM items UNION ALL SELECT 'unknown', 'el_isi' FROM items) GROUP BY ALL"""
 )
 def attribute_value_counts(spark, d):
-    entries = view(spark, d, "items").select(F.explode(parse_attributes(F.col("attributes"))).alias("key", "vals"))
-    return entries.select("key", F.explode("vals").alias("value")).groupBy("key", "value").agg(F.count("*").alias("n"))
+    # items of one text are counted before it is parsed
+    texts = view(spark, d, "items").groupBy("attributes").agg(F.count("*").alias("n"))
+    entries = attribute_maps(texts, "attributes", "m").select("n", F.explode("m").alias("key", "vals"))
+    return entries.select("key", F.explode("vals").alias("value"), "n").groupBy("key", "value").agg(F.sum("n").alias("n"))
 
 
 @query("SELECT event_type, CAST(props->>'k' AS int) % 10 AS k, count(*) AS n FROM events GROUP BY ALL")
