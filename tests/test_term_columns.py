@@ -34,6 +34,13 @@ def test_lengths_of_vectors(spark, monkeypatch, words):
     assert {r.doc_id: r.norm for r in term_columns.norms(docs, "doc_id", "text").collect()} == pytest.approx(expected)
 
 
+def test_rows_of_one_key_share_a_length(spark):
+    docs = spark.createDataFrame([(1, "red shoe"), (1, "blue coat"), (2, "green hat")], "doc_id bigint, text string")
+    found = term_columns.norms(docs, "doc_id", "text").collect()
+    assert {r.doc_id: r.norm for r in found} == pytest.approx({1: math.sqrt(6) * (math.log(2) + 1), 2: math.sqrt(3) * (math.log(2) + 1)})
+    assert len(found) == 2
+
+
 @pytest.mark.parametrize("k", [1, 4, 500])
 def test_queries_and_documents_meet_in_blocks(spark, monkeypatch, k):
     monkeypatch.setattr(retrieval, "TERM_DOCS", 20)
