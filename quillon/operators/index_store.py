@@ -15,6 +15,8 @@ import hashlib
 import json
 import re
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,8 @@ from .retrieval import dense_search, hybrid, query_terms, spread, term_search, t
 
 #: Folders of postings, and documents from which on each is written as one more file.
 BUCKETS, FILE_DOCS = 64, 1_000_000
+#: Documents whose blocks are made in one task.
+TASK_DOCS = 8_192
 
 
 def versioned(root: str, name: str, config: dict) -> str:
@@ -103,6 +107,28 @@ class LexicalIndex:
         return term_search(p, asked.select(query_id, "term", F.col("weight").alias("w")), self.n, self.doc_id, query_id, k, places, "bm25", excluded=excluded)
 
 
+def _lists(avgdl: float, k1: float, b: float):
+    """A function from the documents of one block to its postings, a row per term with the largest weight."""
+
+    def made(group: pa.Table) -> pa.Table:
+        group = group.take(np.argsort(group.column("number").to_numpy(), kind="stable"))
+        tokens = group.column("t").combine_chunks()
+        encoded = tokens.flatten().dictionary_encode()
+        dl = group.column("dl").to_numpy()
+        of = np.repeat(np.arange(len(group)), np.diff(tokens.offsets.to_numpy()))
+        cells, tf = np.unique(encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(group) + of, return_counts=True)
+        term, doc = np.divmod(cells, len(group))
+        part = tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl[doc] / (avgdl or 1.0)))
+        starts = np.searchsorted(term, np.arange(len(encoded.dictionary) + 1)).astype("<i4")
+        most = np.maximum.reduceat(part, starts[:-1]) if len(cells) else part
+        listed = lambda values: pa.ListArray.from_arrays(pa.array(starts), values)
+        block = pa.array(np.full(len(most), group.column("block")[0].as_py(), "<i8"))
+        columns = [block, encoded.dictionary, pa.array(most), listed(group.column("docs").combine_chunks().take(pa.array(doc))), listed(pa.array(tf.astype("<i8"))), listed(pa.array(dl[doc].astype("<i4")))]
+        return pa.Table.from_arrays(columns, names=["block", "term", "most", "docs", "tf", "dl"])
+
+    return made
+
+
 def build_lexical(docs: DataFrame, doc_id: str, text: str, folder: str | None = None, k1: float = 1.5, b: float = 0.75, block_docs: int = 256) -> LexicalIndex:
     """Write the index of all documents to ``folder``, or to a fresh one below ``spark.checkpoint.dir``.
 
@@ -117,12 +143,11 @@ def build_lexical(docs: DataFrame, doc_id: str, text: str, folder: str | None =
         placed = work.written(numbered(tokens, ["dl", "docs"], work, "number"), "placed")
         size = placed.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first()
         n, avgdl = size.n, size.avgdl or 0.0
-        flat = placed.select("number", "docs", "dl", F.explode("t").alias("term")).withColumn("block", F.floor(F.col("number") / block_docs).cast("bigint"))
-        # rows of one term and block meet once, for both groupings
-        counted = flat.repartition("term", "block").groupBy("term", "block", "number", "docs", "dl").agg(F.count("*").alias("tf"))
-        part = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / (avgdl or 1.0)))
-        lists = counted.groupBy("term", "block").agg(F.max(part).alias("most"), F.array_sort(F.collect_list(F.struct("number", "docs", "tf", "dl"))).alias("l"))
-        named = lists.select(_bucket("term").alias("bucket"), "term", "block", "most", *(F.col(f"l.{c}").alias(c) for c in ("docs", "tf", "dl")))
+        # whole documents meet by block, and no token is shuffled or counted by itself
+        tasks = max(spark.sparkContext.defaultParallelism, n // TASK_DOCS)
+        dealt = placed.withColumn("block", F.floor(F.col("number") / block_docs).cast("bigint")).repartition(tasks, "block")
+        lists = dealt.select("block", "number", "docs", "dl", "t").groupBy("block").applyInArrow(_lists(avgdl, k1, b), f"block bigint, term string, most double, docs array<{docs.schema[doc_id].dataType.simpleString()}>, tf array<bigint>, dl array<int>")
+        named = lists.select(_bucket("term").alias("bucket"), "term", "block", "most", "docs", "tf", "dl")
         files = F.pmod(F.xxhash64("term", "block"), F.lit(1 + n // FILE_DOCS))
         named.repartition(F.col("bucket"), files).sortWithinPartitions("bucket", "term", "block").write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/postings")
     if not n or not avgdl:

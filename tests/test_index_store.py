@@ -65,3 +65,17 @@ def test_empty_tables(spark, tmp_path):
     assert none.search(asked, "q", "question", 3).collect() == []
     blank = build_lexical(spark.createDataFrame([(1, None), (2, "")], "doc_id bigint, text string"), "doc_id", "text", str(tmp_path / "blank"))
     assert blank.n == 2 and blank.search(asked, "q", "question", 3).collect() == []
+
+
+def test_a_block_of_documents_gives_its_lists_without_a_row_per_token():
+    import pyarrow as pa
+
+    from quillon.operators.index_store import _lists
+
+    texts = [["b", "a", "b"], [], ["a"], ["a", "c"]]
+    group = pa.table({"block": pa.array([5] * 4), "number": pa.array([12, 10, 11, 13]), "docs": pa.array([7, 8, 7, 9]), "dl": pa.array([3, 0, 1, 2], pa.int32()), "t": pa.array(texts, pa.list_(pa.string()))})
+    weight = lambda tf, dl: tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / 1.5))
+    got = {r["term"]: r for r in _lists(1.5, 1.5, 0.75)(group).to_pylist()}
+    assert {t: (r["block"], r["docs"], r["tf"], r["dl"]) for t, r in got.items()} == {"a": (5, [7, 7, 9], [1, 1, 1], [1, 3, 2]), "b": (5, [7], [2], [3]), "c": (5, [9], [1], [2])}
+    assert [got[t]["most"] for t in "abc"] == pytest.approx([weight(1, 1), weight(2, 3), weight(1, 2)])
+    assert _lists(1.5, 1.5, 0.75)(group.slice(1, 1)).num_rows == 0
