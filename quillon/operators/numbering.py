@@ -19,9 +19,11 @@ def numbered(rows: DataFrame, by: list[str], work: Work, name: str = "number") -
     The rows are ranged over partitions and written with their place in theirs;
     a partition's first number is what the partitions before it hold.  Only the
     sizes of partitions reach the driver.  Rows that are equal in ``by`` lie in
-    one partition and get numbers in an unspecified order.
+    one partition and get numbers in an unspecified order; without columns all
+    rows do.
     """
-    placed = work.written(rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()), f"numbered-{name}")
+    ranged = rows.repartitionByRange(*by).sortWithinPartitions(*by) if by else rows
+    placed = work.written(ranged.withColumn("_at", F.monotonically_increasing_id()), f"numbered-{name}")
     part = F.shiftright("_at", 33)
     sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect()
     firsts = accumulate((r.n for r in sizes), initial=0)

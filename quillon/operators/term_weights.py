@@ -9,11 +9,8 @@ rows that have it.
 from __future__ import annotations
 
 from pyspark.ml import Estimator, Model, Pipeline
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasFeaturesCol, HasInputCols, HasLabelCol
+from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +18,6 @@ from pyspark.sql import functions as F
 from quillon.functions.text import text_or_empty
 from quillon.sources.work import Work, saved, shared_folder
 
-from .joins import cut
 from .numbering import numbered
 from .retrieval import unigrams_bigrams
 
@@ -118,28 +114,8 @@ def sparse_dot(left: str, right: str, name: str):
     return added
 
 
-class BalancedLogistic(Estimator, HasFeaturesCol, HasLabelCol):
-    """Logistic regression with classes of equal weight and a penalty of half the squared coefficients against ``C`` times the summed loss."""
-
-    C = Param(Params._dummy(), "C", "weight of the loss against the penalty", typeConverter=TypeConverters.toFloat)
-
-    def __init__(self, C: float = 4.0, featuresCol: str = "features", labelCol: str = "label", maxIter: int = 100) -> None:
-        super().__init__()
-        self.maxIter = maxIter
-        self._set(C=C, featuresCol=featuresCol, labelCol=labelCol)
-
-    def _fit(self, dataset: DataFrame) -> LogisticRegressionModel:
-        from .models import balanced_weights
-
-        features, label = self.getFeaturesCol(), self.getLabelCol()
-        # the features come from joins and are read by each step of the fit
-        dataset = cut(dataset.select(features, label))
-        n = dataset.count()
-        plain = LogisticRegression(featuresCol=features, labelCol=label, weightCol="weight", standardization=False, regParam=1.0 / (self.getOrDefault(self.C) * max(1, n)), maxIter=self.maxIter, tol=1e-7)
-        return plain.fit(balanced_weights(dataset, label))
-
-
 def pair_text_pipeline(query: str = "query", item: str = "item", pair: str = "pair", label: str = "label", C: float = 4.0) -> Pipeline:
     """Tf-idf of query, item and pair texts side by side, each with its own terms, and a balanced logistic model."""
-    fields = (query, item, pair)
-    return Pipeline(stages=[*(TermWeights([c]) for c in fields), VectorAssembler(inputCols=[f"{c}_weights" for c in fields], outputCol="features"), BalancedLogistic(C, labelCol=label)])
+    from .text_logistic import TextLogistic
+
+    return Pipeline(stages=[TextLogistic([query, item, pair], C, labelCol=label)])

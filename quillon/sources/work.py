@@ -22,9 +22,9 @@ def shared_folder(spark: SparkSession, what: str) -> str:
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}-{what}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, path: str) -> DataFrame:
-    """The frame, written to ``path`` as Parquet and read back."""
-    df.write.mode("overwrite").parquet(path)
+def saved(df: DataFrame, path: str, *by: str) -> DataFrame:
+    """The frame, written to ``path`` as Parquet, in folders by the columns ``by``, and read back."""
+    df.write.mode("overwrite").partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -33,16 +33,23 @@ class Work:
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
-        self.paths: list[str] = []
+        self.paths: list[tuple[str, str]] = []
 
     def __enter__(self) -> Work:
         return self
 
-    def written(self, df: DataFrame, what: str) -> DataFrame:
-        self.paths.append(shared_folder(self.spark, what))
-        return saved(df, self.paths[-1])
+    def written(self, df: DataFrame, what: str, *by: str) -> DataFrame:
+        """The frame, written in folders by the columns ``by`` and read back."""
+        self.paths.append((what, shared_folder(self.spark, what)))
+        return saved(df, self.paths[-1][1], *by)
+
+    def ended(self, *names: str) -> None:
+        """Deletes the tables that were written under these names."""
+        for what, path in self.paths:
+            if what in names:
+                folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self.paths = [x for x in self.paths if x[0] not in names]
 
     def __exit__(self, *_) -> None:
-        for path in self.paths:
-            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self.ended(*(what for what, _ in self.paths))

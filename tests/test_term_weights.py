@@ -116,3 +116,26 @@ def test_loss_equals_that_of_a_dense_model(spark, pairs, tmp_path):
 def test_an_empty_fit_knows_no_terms(spark, pairs):
     model = TermWeights(["query"]).fit(pairs.limit(0))
     assert model.size == 0 and model.transform(pairs).where(F.size(vector_to_array("query_weights")) == 1).count() == len(ROWS)
+
+
+def test_blocks_and_parts_of_a_fit_give_the_same_model_and_leave_terms_in_a_table(spark, pairs, monkeypatch):
+    from quillon.operators import text_logistic
+
+    rows = pairs.select("id", "label", "query", F.col("title").alias("item"), F.concat_ws(" [SEP] ", "query", "title").alias("pair"))
+    monkeypatch.setattr(text_logistic, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(text_logistic, "PART_BUCKETS", 1)
+    monkeypatch.setattr(text_logistic, "buckets_for", lambda texts, text: (texts.count(), 2))
+    last = pair_text_pipeline().fit(rows).stages[-1]
+    texts = [(r[1] or "", r[2], " [SEP] ".join(x for x in (r[1], r[2]) if x is not None)) for r in ROWS]
+    fields = [statistics([t[i] for t in texts]) for i in range(3)]
+    found = {(r.of, r.term): r.coefficient for r in last.table.collect()}
+    assert set(found) == {(i, g) for i, idf in enumerate(fields) for g in idf}
+    margins = [last.intercept + sum(w * found[i, g] for i, idf in enumerate(fields) for g, w in unit(t[i], idf).items()) for t in texts]
+    proba = {r.id: r.p for r in last.transform(rows).select("id", vector_to_array("probability")[1].alias("p")).collect()}
+    assert [proba[r[0]] for r in ROWS] == pytest.approx([1 / (1 + math.exp(-m)) for m in margins])
+    # at the least loss a coefficient is what the rows leave of it
+    ones = sum(r[4] for r in ROWS)
+    rest = [4.0 * len(ROWS) / (2 * (ones if r[4] else len(ROWS) - ones)) * (r[4] - proba[r[0]]) for r in ROWS]
+    assert sum(rest) == pytest.approx(0, abs=2e-3)
+    for (i, g), c in found.items():
+        assert c == pytest.approx(sum(x * unit(t[i], fields[i]).get(g, 0.0) for x, t in zip(rest, texts)), abs=2e-3)
