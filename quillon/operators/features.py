@@ -12,6 +12,11 @@ from quillon.functions import similarity
 from quillon.functions.attributes import attribute_map_of_json, category_parts
 from quillon.functions.text import char_ngrams, coverage, is_unknown, jaccard, longest_token_span, normalize_text, numeric_tokens, safe_div, shared, symbol_density, text_or_empty, token_set, token_set_ratio, tokens
 
+from quillon.sources.work import Work
+
+from .item_text import ITEM_FIELDS, full_item_text
+from .joins import cut
+from .retrieval import spread
 from .term_weights import TermWeights, TermWeightsModel, sparse_dot
 
 
@@ -209,8 +214,6 @@ _SIDES = {"sem_query_title_cosine": "_title", "sem_query_item_full_text_cosine":
 
 
 def _semantic_texts(pairs: DataFrame, *others: str) -> DataFrame:
-    from .item_text import full_item_text
-
     return pairs.select(*others, text_or_empty(_c("query")).alias("_query"), text_or_empty(_c("title")).alias("_title"), text_or_empty(full_item_text()).alias("_full"), text_or_empty(_c("category")).alias("_category"))
 
 
@@ -225,11 +228,15 @@ def semantic_features(pairs: DataFrame, key: str, models: dict[str, TermWeightsM
 
     A row per pair; weights are worked out once per distinct text.
     """
-    out = _semantic_texts(pairs, key)
-    for name, model in (models or fit_semantic(pairs)).items():
-        weighed = model.weights(model.weights(out, "_query", "_q"), _SIDES[name], "_i")
-        out = weighed.transform(sparse_dot("_q", "_i", name)).drop("_q", "_i")
-    return out.select(key, *_SIDES)
+    return _with_cosines(_semantic_texts(pairs, key), models or fit_semantic(pairs)).select(key, *_SIDES)
+
+
+def _with_cosines(rows: DataFrame, models: dict[str, TermWeightsModel]) -> DataFrame:
+    """The rows of ``_semantic_texts`` with their cosines; no key takes part, so rows may share one."""
+    for name, model in models.items():
+        weighed = model.weights(model.weights(rows, "_query", "_q"), _SIDES[name], "_i")
+        rows = weighed.transform(sparse_dot("_q", "_i", name)).drop("_q", "_i")
+    return rows
 
 
 def out_of_fold_semantic(pairs: DataFrame, key: str, fold: str = "fold") -> DataFrame:
@@ -243,22 +250,121 @@ def pair_features(pairs: DataFrame, key: str = "id", groups: tuple[str, ...] = (
     """The key and the features of the chosen groups, all numeric and never null.
 
     Plain groups are one projection.  'fuzzy' runs a vectorised UDF over distinct
-    (query, title) pairs, 'semantic' needs corpus counts; both join back by key.
+    (query, title) pairs, 'semantic' needs corpus counts; both join by the texts,
+    so rows that share a key keep features of their own.  Where means are wanted
+    and not rows, ``feature_means`` makes no row per pair.
     """
     have = pairs.withColumns({c: F.lit(None).cast("string" if c == "source_pool" else "double") for c in OPTIONAL if c not in pairs.columns})
     columns: dict[str, Column] = {}
     for g in groups:
         if g in GROUPS:
             columns |= GROUPS[g]()
-    out = have.select(key, "query", "title", *(F.coalesce(c.cast("double"), F.lit(0.0)).alias(n) for n, c in columns.items()))
+    made = [F.coalesce(c.cast("double"), F.lit(0.0)).alias(n) for n, c in columns.items()]
+    out = _semantic_texts(have, key, "query", "title", *made) if "semantic" in groups else have.select(key, "query", "title", *made)
     if "fuzzy" in groups:
         out = similarity.on_distinct_pairs(out, "query", "title", lex_fuzzy_ratio=similarity.seq_ratio, lex_token_sort_ratio=similarity.token_sort_ratio)
     if "semantic" in groups:
-        # a key's rows are alike in the texts of a pair
-        out = out.join(semantic_features(pairs.dropDuplicates([key]), key), key, "left")
+        out = _with_cosines(out, fit_semantic(pairs)).drop("_query", *_SIDES.values())
     return out.drop("query", "title")
 
 
+#: The side of an item that a group's features read with the query, and the features that read another one.
+_GROUP_SIDES = {"lexical": "title", "category": "category", "brand": "brand", "attribute": "attributes", "gender_age": "wearer", "query": "none", "retrieval": "place", "metadata": "title"}
+_OWN_SIDES = {"meta_brand_present_flag": "brand", "meta_attribute_count": "attributes", "meta_unknown_field_count": "wearer", "meta_missing_field_count": "blank"}
+#: Queries up to which their vectors are broadcast to the pairs that met their items; more are joined before.
+BROADCAST_QUERIES = 50_000
+
+
+def _item_sides(item_id: str) -> dict[str, dict[str, Column]]:
+    """Per side the columns that its features read, cut down to what tells items apart there.
+
+    Numbers stand for texts that only their numbers are read of, and any letter
+    for a text that is only asked whether it is blank.  What a hit is judged by
+    is kept of items that are hits (``_hit``), as conflicts count for those alone.
+    """
+    same = lambda *names: {c: _c(c) for c in names}
+    numbers = lambda c: F.array_join(numeric_tokens(_c(c)), " ")
+    hit = {n: F.when(_c("_hit"), _c(c)) for n, c in ((item_id, item_id), *((c, c) for c in ("gender", "age_group", "color_value", "material_value")))}
+    return {
+        "title": same("title"),
+        "category": same("category"),
+        "brand": same("brand"),
+        "attributes": same("attribute_dict", "normalized_attribute_text") | {c: numbers(c) for c in ("attributes", "title")},
+        "wearer": same("gender", "age_group"),
+        "blank": {c: F.when(normalize_text(_c(c)) == "", "").otherwise("x") for c in ITEM_FIELDS},
+        "place": same("category", "brand") | hit,
+    }
+
+
+def feature_means(pairs: DataFrame, asks: DataFrame, queries: DataFrame, items: DataFrame, hits: DataFrame, flags: dict[str, Column], term_id: str = "term_id", item_id: str = "item_id") -> DataFrame:
+    """(feature, n, mean): all groups of ``pair_features`` over all pairs of a term and an item, without a row of features per pair.
+
+    ``asks`` (term, asked) gives a term its row of ``queries`` (asked, query,
+    intent columns), whose texts differ; ``items`` have their attribute columns,
+    ``hits`` (asked, item, scores and ranks) are at most one per query and item,
+    and ``flags`` are the columns of the retrieval group besides.
+
+    A feature reads the query and one side of the item, so pairs are counted by
+    query and side, and each such pair of texts has its features made once.
+    Pairs are moved once, as two numbers, to their items; there they meet the
+    hashes of the items' sides and, for the cosine with the full text, the
+    weights of those terms that some query holds.
+    """
+    spark = pairs.sparkSession
+    sides = _item_sides(item_id)
+    with Work(spark) as work:
+        asks, queries, hits = work.written(asks.select(term_id, "asked"), "asks"), work.written(queries, "queries"), work.written(hits, "hits")
+        narrow = pairs.select(term_id, item_id).join(asks, term_id, "left").select("asked", item_id)
+        marked = items.join(hits.select(item_id, F.lit(True).alias("_hit")).distinct(), item_id, "left")
+        split = marked.select(item_id, text_or_empty(full_item_text()).alias("_full"), *(F.struct(*(c.alias(n) for n, c in columns.items())).alias(side) for side, columns in sides.items()))
+        split = work.written(split.select("*", *(F.unhex(F.md5(F.to_json(side))).alias(f"_{side}") for side in sides)), "sides")
+
+        per_query = narrow.groupBy("asked").agg(F.count("*").alias("n")).join(queries, "asked", "left").select("asked", text_or_empty(_c("query")).alias("text"), "n")
+        per_query = work.written(per_query, "per-query")
+        per_full = narrow.groupBy(item_id).agg(F.count("*").alias("n")).join(split, item_id, "left").select(text_or_empty(_c("_full")).alias("text"), "n")
+        full = TermWeights(["text"], "n").fit(per_query.select("text", "n").unionByName(per_full))
+        asked_full = work.written(full.weights(per_query.select("asked", "text"), "text", "_q").select("asked", "_q"), "asked-full")
+        met_terms = asked_full.select(F.explode("_q.ids").alias("id")).distinct()
+        weighed = full.weights(split.select(item_id, "_full", *(f"_{side}" for side in sides)), "_full", "_i", met_terms).drop("_full")
+        if asked_full.count() > BROADCAST_QUERIES:
+            met = narrow.join(asked_full, "asked", "left").join(weighed, item_id, "left")
+        else:
+            met = narrow.join(weighed, item_id, "left").join(F.broadcast(asked_full), "asked", "left")
+        keys = ["asked", *(f"_{side}" for side in sides)]
+        sets = {"none": keys[:1]} | {side: ["asked", f"_{side}"] for side in sides}
+        mask = {side: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in held) for side, held in sets.items()}
+        met = met.transform(sparse_dot("_q", "_i", "_cosine"))
+        counts = work.written(met.groupingSets([[_c(k) for k in held] for held in sets.values()], *keys).agg(F.grouping_id().cast("int").alias("_set"), F.count("*").alias("n"), F.coalesce(F.sum("_cosine"), F.lit(0.0)).alias("_cosines")), "counts", "_set")
+
+        made: dict[str, dict[str, Column]] = {side: {} for side in sets}
+        for group, features in GROUPS.items():
+            for name, c in features().items():
+                made[_OWN_SIDES.get(name, _GROUP_SIDES[group])][name] = c
+        made["title"] |= {"lex_fuzzy_ratio": similarity.seq_ratio(_c("query"), _c("title")), "lex_token_sort_ratio": similarity.token_sort_ratio(_c("query"), _c("title"))}
+        made["none"]["sem_query_item_full_text_cosine"] = _c("_cosines") / _c("n")
+        parts = []
+        for side, columns in made.items():
+            rows = spread(counts.where(_c("_set") == mask[side]).select(*sets[side], "n", "_cosines"))
+            if side in sides:
+                texts = split.select(f"_{side}", f"{side}.*").dropDuplicates([f"_{side}"])
+                rows = rows.join(texts, f"_{side}", "left")
+            if side in ("title", "category"):
+                name, text = f"sem_query_{side}_cosine", text_or_empty(_c(side))
+                rows = spread(work.written(rows, f"with-{side}"))
+                model = TermWeights(["text"], "n").fit(per_query.select("text", "n").unionByName(rows.select(text.alias("text"), "n")))
+                rows = rows.join(model.weights(per_query.select("asked", "text"), "text", "_q").select(_c("asked").alias("_asked"), "_q"), _c("asked").eqNullSafe(_c("_asked")), "left")
+                rows = model.weights(rows, side, "_i").transform(sparse_dot("_q", "_i", name)).drop("_q", "_i", "_asked")
+                columns[name] = _c(name)
+            rows = rows.join(queries, "asked", "left")
+            if side == "place":
+                rows = rows.join(hits, ["asked", item_id], "left").withColumns(flags)
+            values = rows.select("n", *(F.coalesce(c.cast("double"), F.lit(0.0)).alias(n) for n, c in columns.items()))
+            summed = values.agg(F.sum("n").alias("n"), *(F.sum(_c("n") * _c(c)).alias(c) for c in columns))
+            each = F.explode(F.array(*(F.struct(F.lit(c).alias("feature"), F.round(_c(c) / _c("n"), 6).alias("mean")) for c in columns)))
+            parts.append(summed.where("n > 0").select("n", each.alias("x")).select("x.feature", "n", "x.mean"))
+        return cut(reduce(DataFrame.unionByName, parts))
+
+
 def explained(features: DataFrame, key: str = "id") -> DataFrame:
     """One struct per group of features instead of one column per feature."""
     prefix = {"lexical": "lex_", "category": "cat_", "brand": "brand_", "attribute": "attr_", "query": "query_", "retrieval": "retrieval_", "semantic": "sem_", "metadata": "meta_"}

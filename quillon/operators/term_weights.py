@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.ml.param.shared import HasInputCols
+from pyspark.ml.param.shared import HasInputCols, HasWeightCol
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,18 +26,24 @@ def _terms(text: Column) -> Column:
     return unigrams_bigrams(text)
 
 
-class TermWeights(Estimator, HasInputCols):
-    """Learns document frequencies of the words and pairs of neighbours of ``inputCols``, each text of each column a document."""
+class TermWeights(Estimator, HasInputCols, HasWeightCol):
+    """Learns document frequencies of the words and pairs of neighbours of ``inputCols``, each text of each column a document.
 
-    def __init__(self, inputCols: list[str] | None = None) -> None:
+    ``weightCol`` says how many times a row counts.
+    """
+
+    def __init__(self, inputCols: list[str] | None = None, weightCol: str | None = None) -> None:
         super().__init__()
         if inputCols is not None:
             self._set(inputCols=inputCols)
+        if weightCol is not None:
+            self._set(weightCol=weightCol)
 
     def _fit(self, dataset: DataFrame) -> TermWeightsModel:
         spark, folder = dataset.sparkSession, shared_folder(dataset.sparkSession, "terms")
         columns = self.getInputCols()
-        texts = dataset.select(F.explode(F.array(*(text_or_empty(F.col(c)) for c in columns))).alias("text")).groupBy("text").agg(F.count("*").alias("n"))
+        times = F.col(self.getWeightCol()).cast("bigint") if self.isDefined(self.weightCol) else F.lit(1)
+        texts = dataset.select(F.explode(F.array(*(text_or_empty(F.col(c)) for c in columns))).alias("text"), times.alias("n")).groupBy("text").agg(F.sum("n").alias("n"))
         with Work(spark) as work:
             counted = work.written(texts, "texts")
             n = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
@@ -58,13 +64,17 @@ class TermWeightsModel(Model, HasInputCols, MLReadable, MLWritable):
         self.table, self.n = table, n
         self.size = table.count()
 
-    def weights(self, dataset: DataFrame, column: str, name: str) -> DataFrame:
-        """Adds ``name``: the ids of the column's known terms in order and their weights."""
+    def weights(self, dataset: DataFrame, column: str, name: str, met: DataFrame | None = None) -> DataFrame:
+        """Adds ``name``: the ids of the column's known terms in order and their weights; with ``met`` (id) of these terms alone, with the lengths of whole texts."""
         key = F.md5(text_or_empty(F.col(column)))
         texts = dataset.select(key.alias("_key"), text_or_empty(F.col(column)).alias("_text")).dropDuplicates(["_key"])
         tf = texts.select("_key", F.explode(_terms(F.col("_text"))).alias("term")).groupBy("_key", "term").agg(F.count("*").alias("tf"))
-        met = tf.join(self.table.select("term", "id", "idf"), "term").select("_key", "id", (F.col("tf") * F.col("idf")).alias("w"))
-        vectors = met.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("id", "w"))).alias("_l"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
+        table = self.table.select("term", "id", "idf")
+        kept = F.struct("id", "w")
+        if met is not None:
+            table, kept = table.join(met.select("id", F.lit(True).alias("_met")), "id", "left"), F.when(F.col("_met"), kept)
+        weighed = tf.join(table, "term").withColumn("w", F.col("tf") * F.col("idf"))
+        vectors = weighed.groupBy("_key").agg(F.array_sort(F.collect_list(kept)).alias("_l"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
         unit = vectors.select("_key", F.struct(F.col("_l.id").alias("ids"), F.transform("_l.w", lambda w: w / F.col("_norm")).alias("weights")).alias(name))
         none = F.struct(F.array().cast("array<bigint>").alias("ids"), F.array().cast("array<double>").alias("weights"))
         return dataset.withColumn("_key", key).join(unit, "_key", "left").drop("_key").withColumn(name, F.coalesce(name, none))
