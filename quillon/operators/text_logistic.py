@@ -16,7 +16,7 @@ text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions.text import text_or_empty
-from quillon.sources.work import Work, saved, shared_folder
+from quillon.sources.work import Work, saved, shared_folder, tasks_apart
 
 from .latent import _MATRIX, BLOCK_WORDS, _cells, _in_turn, _one_task, _stored
 from .numbering import numbered
@@ -42,44 +42,56 @@ from .term_columns import buckets_for, counted, packed, terms_of, unpacked
 BLOCK_ROWS = 16_384
 #: Buckets of terms in a part, which one task multiplies; a part more has one number per row shuffled in each step.
 PART_BUCKETS = 8
+#: Cores for which a field has a part more: a step is planned anew, which takes a while per part.
+PART_CORES = 4
 #: Steps that the next direction is made from.
 HISTORY = 8
 #: Multiples of a direction at which the loss and its slope are looked at.
 STEPS = np.array([0.0, *(2.0**-i for i in range(24, 0, -1)), 0.75, 1.0, 1.5, 2.0, 4.0, 8.0])
 
-_STREAM = {"what": "string", "base": "bigint", "n": "int", "a": "binary", "keys": "array<bigint>", "bucket": "int", "kind": "string", "sizes": "binary", "letters": "binary", "times": "binary", "df": "binary", "docs": "binary", "tf": "binary"}
+_STREAM = {"what": "string", "base": "bigint", "n": "int", "a": "binary", "b": "binary", "keys": "array<bigint>", "bucket": "int", "kind": "string", "sizes": "binary", "letters": "binary", "times": "binary", "df": "binary", "docs": "binary", "tf": "binary"}
 _STATE = "base bigint, n int, fixed binary, vectors binary, facts array<double>"
 _MODEL = "of int, n int, buckets int, bucket int, sizes binary, letters binary, times binary, df binary, found binary"
 
 
+def _said(what: str, df: DataFrame, /, **own: str) -> DataFrame:
+    """Rows of a stream: the named columns, the others null."""
+    given = {"what": f"'{what}'", **own}
+    return df.selectExpr(*(f"CAST({given.get(c, 'NULL')} AS {t}) AS {c}" for c, t in _STREAM.items()))
+
+
 class _Field:
     """A column's matrix: ``parts`` of chunks over ``n`` rows, which it numbers in its own way."""
 
     def __init__(self, rows: DataFrame, text: str, number: int, work: Work) -> None:
         self.number = number
         self.n, self.buckets = buckets_for(rows, text)
-        self.parts = -(-self.buckets // PART_BUCKETS)
+        self.parts = min(self.buckets, max(-(-self.buckets // PART_BUCKETS), -(-rows.sparkSession.sparkContext.defaultParallelism // PART_CORES)))
         made, names = _stored(self.parts, pa.int64())
-        sent = counted(rows, "number", text, self.buckets, BLOCK_WORDS).repartition(self.buckets, "bucket").groupBy("bucket").applyInArrow(made, f"{_MATRIX}, keys array<bigint>").select(*names)
+        sent = counted(rows, "number", text, self.buckets, BLOCK_WORDS).repartitionById(self.buckets, "bucket").groupBy("bucket").applyInArrow(made, f"{_MATRIX}, keys array<bigint>").select(*names)
         self.matrix = work.written(sent, f"matrix-{text}", "part", "kind")
 
-    def over(self, part: int, kinds: tuple[str, ...], *given: tuple[str, DataFrame, str]) -> DataFrame:
+    def over(self, part: int, kinds: tuple[str, ...], *given: tuple[str, DataFrame, dict[str, str]]) -> DataFrame:
         """A stream for one task: vectors of the rows, where the rows lie in the matrix, and a part of its chunks."""
 
-        def said(what: str, df: DataFrame, /, **own: str) -> DataFrame:
-            return df.select(*((F.lit(what) if c == "what" else F.col(own[c]) if c in own else F.lit(None)).cast(t).alias(c) for c, t in _STREAM.items()))
+        return self.read(part, kinds, *(_said(what, df, base="base", n="n", **columns) for what, df, columns in given), self.placed())
+
+    def placed(self) -> DataFrame:
+        """Where the rows lie in the matrix, as rows of a stream."""
+        return _said("keys", self.matrix.where("kind = 'keys'"), base="base", n="n", keys="keys")
 
-        vectors = [said(what, df, base="base", n="n", a=column) for what, df, column in given]
+    def read(self, part: int, kinds: tuple[str, ...], *streams: DataFrame) -> DataFrame:
+        """The streams and then a part of the chunks, for one task."""
         chunks = self.matrix.where(F.col("part") == part).where(F.col("kind").isin(*kinds))
         held = {c: c for c in ("bucket", "kind", "times", "df", "docs", "tf", *(("sizes", "letters") if "lone" in kinds else ()))}
-        return _one_task(*vectors, said("keys", self.matrix.where("kind = 'keys'"), base="base", n="n", keys="keys"), said("chunk", chunks, **held))
+        return _one_task(*streams, _said("chunk", chunks, **held))
 
 
 class _Placed:
-    """The vectors of a stream in the order of a matrix's rows."""
+    """The vectors of a stream in the order of a matrix's rows; ``made`` takes a row of the first one to its vector."""
 
-    def __init__(self, batches: Iterator[pa.RecordBatch], n: int, names: tuple[str, ...]) -> None:
-        self.n, self.batches, self.names = n, batches, names
+    def __init__(self, batches: Iterator[pa.RecordBatch], n: int, names: tuple[str, ...], made: Callable[[dict], np.ndarray] | None = None) -> None:
+        self.n, self.batches, self.names, self.made = n, batches, names, made
         self.given = {name: np.zeros(n) for name in names}
         self.at, self.places = np.zeros(n, np.int64), []
 
@@ -96,6 +108,9 @@ class _Placed:
                 continue
             if what == self.names[0]:
                 self.places.append(here)
+                if self.made:
+                    self.given[what][here] = self.made(row)
+                    continue
             vectors = _vectors(row["a"], row["n"])
             self.given[what][here] = vectors[number if len(vectors) > 1 else 0]
 
@@ -174,7 +189,7 @@ class TextLogistic(Estimator, HasInputCols, HasLabelCol):
 
     def _fit(self, dataset: DataFrame) -> TextLogisticModel:
         spark, columns, label = dataset.sparkSession, self.getInputCols(), self.getLabelCol()
-        with Work(spark) as work:
+        with Work(spark) as work, tasks_apart(spark):
             texts = {f"text{i}": text_or_empty(F.col(c)) for i, c in enumerate(columns)}
             rows = numbered(spread(dataset.select(F.col(label).cast("double").alias("y"), *(c.alias(t) for t, c in texts.items()))), [], work)
             classes = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -184,7 +199,7 @@ class TextLogistic(Estimator, HasInputCols, HasLabelCol):
             weights = {y: self.getOrDefault(self.C) * n / (len(classes) * size) for y, size in classes.items()}
             fields = [_Field(rows, t, i, work) for i, t in enumerate(texts)]
             a, inverse, intercept = self._solve(rows, fields, n, weights, work)
-            chunks = reduce(DataFrame.unionByName, [self._coefficients(f, part, a, inverse) for f in fields for part in range(f.parts)])
+            chunks = reduce(DataFrame.union, [self._coefficients(f, part, a, inverse) for f in fields for part in range(f.parts)])
             model = saved(chunks, f"{shared_folder(spark, 'logistic')}/chunks")
         return self._copyValues(TextLogisticModel(model, intercept))
 
@@ -222,12 +237,16 @@ class TextLogistic(Estimator, HasInputCols, HasLabelCol):
 
             return task
 
-        def multiplied(field: _Field):
-            """K times the vector of the stream, of this part."""
+        def residual(row: dict, move: np.ndarray, intercept: float) -> np.ndarray:
+            (y, weight, _), (point, _, _) = _vectors(row["b"], row["n"]), _moved(_vectors(row["a"], row["n"]), move)
+            return _residual(y, weight, point[1] + intercept)
+
+        def multiplied(field: _Field, move: np.ndarray, intercept: float):
+            """K times the residuals of the stream's rows, of this part."""
             number = field.number
 
             def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                read, own, out = _Placed(batches, n, ("rows", "inverse")), None, np.zeros(n)
+                read, own, out = _Placed(batches, n, ("rows", "inverse"), lambda row: residual(row, move, intercept)), None, np.zeros(n)
                 for row in read.chunks(number):
                     if own is None:
                         own = (read.given["rows"] * read.given["inverse"])[read.at]
@@ -242,18 +261,10 @@ class TextLogistic(Estimator, HasInputCols, HasLabelCol):
 
             return task
 
-        def product(of: DataFrame, vector: str) -> DataFrame:
-            each = [f.over(p, ("shared",), ("rows", of, vector), ("inverse", inverse, "inverse")).mapInArrow(multiplied(f), "base bigint, n int, a binary") for f in fields for p in range(f.parts)]
-            return reduce(DataFrame.unionByName, each)
-
-        def residuals(move: np.ndarray, intercept: float):
-            def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                for batch in batches:
-                    for row in batch.to_pylist():
-                        (y, weight, _), (point, _, _) = _vectors(row["fixed"], row["n"]), _moved(_vectors(row["vectors"], row["n"]), move)
-                        yield _sent(base=row["base"], n=row["n"], r=_residual(y, weight, point[1] + intercept).tobytes())
-
-            return task
+        def product(state: DataFrame, move: np.ndarray, intercept: float) -> DataFrame:
+            rows = _said("rows", state, base="base", n="n", a="vectors", b="fixed")
+            each = [f.read(p, ("shared",), rows, still[f.number]).mapInArrow(multiplied(f, move, intercept), "base bigint, n int, a binary") for f in fields for p in range(f.parts)]
+            return reduce(DataFrame.union, each)
 
         def advanced(move: np.ndarray, intercept: float):
             def made(group: pa.Table, products: pa.Table) -> pa.Table:
@@ -294,16 +305,19 @@ class TextLogistic(Estimator, HasInputCols, HasLabelCol):
         summed = lambda df: np.sum([r.facts for r in df.select("facts").collect()], axis=0)
         base = (F.floor(F.col("number") / BLOCK_ROWS) * BLOCK_ROWS).cast("bigint")
         sizes = work.written(rows.groupBy(base.alias("base")).agg(F.count("*").cast("int").alias("n")).withColumn("a", F.unhex(F.repeat(F.lit("00"), F.col("n") * 8))), "sizes")
-        squares = [f.over(p, ("lone", "shared"), ("rows", sizes, "a")).mapInArrow(squared(f), "base bigint, of int, a binary") for f in fields for p in range(f.parts)]
+        squares = [f.over(p, ("lone", "shared"), ("rows", sizes, {"a": "a"})).mapInArrow(squared(f), "base bigint, of int, a binary") for f in fields for p in range(f.parts)]
         labelled = rows.select("number", "y", base.alias("base")).groupBy("base")
-        blocks = work.written(labelled.cogroup(reduce(DataFrame.unionByName, squares).groupBy("base")).applyInArrow(begun, f"{_STATE}, inverse binary"), "blocks")
+        blocks = work.written(labelled.cogroup(reduce(DataFrame.union, squares).groupBy("base")).applyInArrow(begun, f"{_STATE}, inverse binary"), "blocks")
         inverse, state = blocks.select("base", "n", "inverse"), blocks.drop("inverse")
+        # what every step reads again of a field, as one table
+        of_rows = _said("inverse", inverse, base="base", n="n", a="inverse")
+        still = [work.written(of_rows.union(f.placed()), f"still-{f.number}") for f in fields]
         move, intercept, along = np.zeros(0), 0.0, 0.0
         of_basis: list[float] = []
         for number in range(self.maxIter + 1):
-            r = work.written(state.mapInArrow(residuals(move, intercept), "base bigint, n int, r binary"), f"residuals-{number}")
-            state = work.written(state.groupBy("base").cogroup(product(r, "r").groupBy("base")).applyInArrow(advanced(move, intercept), _STATE), f"state-{number}")
-            work.ended(f"residuals-{number}", f"state-{number - 1}")
+            moved = state.groupBy("base").cogroup(product(state, move, intercept).groupBy("base")).applyInArrow(advanced(move, intercept), _STATE)
+            state = work.written(moved, f"state-{number}")
+            work.ended(f"state-{number - 1}")
             facts = summed(state)
             # the intercept's part of the gradient and of the steps kept
             of_basis = [facts[0], *([*of_basis[1:][-2 * (HISTORY - 1) :], along, facts[0] - of_basis[0]] if of_basis else [])]
@@ -341,7 +355,7 @@ class TextLogistic(Estimator, HasInputCols, HasLabelCol):
                 found = np.add.reduceat(own[docs] * w, np.cumsum(df) - df)
                 yield _sent(of=number, n=n, buckets=buckets, **{c: row[c] for c in ("bucket", "sizes", "letters", "times", "df")}, found=packed(found, "<f8"))
 
-        return field.over(part, ("lone", "shared"), ("rows", a, "a"), ("inverse", inverse, "inverse")).mapInArrow(task, _MODEL)
+        return field.over(part, ("lone", "shared"), ("rows", a, {"a": "a"}), ("inverse", inverse, {"a": "inverse"})).mapInArrow(task, _MODEL)
 
 
 def _terms_and_values(row: dict) -> tuple[pa.Array, np.ndarray, np.ndarray]:

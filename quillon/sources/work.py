@@ -25,14 +25,9 @@ def shared_folder(spark: SparkSession, what: str) -> str:
 
 
 @contextmanager
-def tasks_apart(spark: SparkSession) -> Iterator[None]:
-    """Plans that run meanwhile read each part of a union of frames of one partition in a task of its own.
-
-    Since 4.1 Spark takes such frames for equally partitioned and reads all of them in one task, one after another.
-    """
-    name = "spark.sql.unionOutputPartitioning"
+def _set(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     before = spark.conf.get(name, None)
-    spark.conf.set(name, "false")
+    spark.conf.set(name, value)
     try:
         yield
     finally:
@@ -42,6 +37,14 @@ def tasks_apart(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+def tasks_apart(spark: SparkSession):
+    """Plans that run meanwhile read each part of a union of frames of one partition in a task of its own.
+
+    Since 4.1 Spark takes such frames for equally partitioned and reads all of them in one task, one after another.
+    """
+    return _set(spark, "spark.sql.unionOutputPartitioning", "false")
+
+
 def saved(df: DataFrame, path: str, *by: str) -> DataFrame:
     """The frame, written to ``path`` as Parquet, in folders by the columns ``by``, and read back."""
     df.write.mode("overwrite").partitionBy(*by).parquet(path)
@@ -59,8 +62,9 @@ class Work:
         return self
 
     def written(self, df: DataFrame, what: str, *by: str) -> DataFrame:
-        """The frame, written in folders by the columns ``by`` and read back."""
-        return saved(df, self.folder(what), *by)
+        """The frame, written in folders by the columns ``by`` and read back; the shuffle files of the write go with its end."""
+        with _set(self.spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+            return saved(df, self.folder(what), *by)
 
     def folder(self, what: str) -> str:
         """A folder that ends with the block."""

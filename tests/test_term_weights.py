@@ -139,3 +139,19 @@ def test_blocks_and_parts_of_a_fit_give_the_same_model_and_leave_terms_in_a_tabl
     assert sum(rest) == pytest.approx(0, abs=2e-3)
     for (i, g), c in found.items():
         assert c == pytest.approx(sum(x * unit(t[i], fields[i]).get(g, 0.0) for x, t in zip(rest, texts)), abs=2e-3)
+
+
+def test_every_part_of_a_step_has_a_task(spark, pairs, monkeypatch):
+    """Spark 4.1 reads a union of frames of one partition in one task, so a step was the work of one core."""
+    from quillon.operators import text_logistic
+
+    rows = pairs.select("label", "query", F.col("title").alias("item"), F.concat_ws(" [SEP] ", "query", "title").alias("pair"))
+    monkeypatch.setattr(text_logistic, "PART_BUCKETS", 1)
+    monkeypatch.setattr(text_logistic, "buckets_for", lambda texts, text: (texts.count(), 2))
+    spark.sparkContext.setJobGroup("logistic", "two steps")
+    text_logistic.TextLogistic(["query", "item", "pair"], maxIter=2).fit(rows)
+    status = spark.sparkContext.statusTracker()
+    stages = [status.getStageInfo(i) for j in status.getJobIdsForGroup("logistic") for i in status.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # lengths, three steps and the coefficients
+    assert sum(s is not None and s.numTasks == s.numCompletedTasks == 6 for s in stages) >= 5
