@@ -78,3 +78,11 @@ def test_dense_hits_come_from_texts(spark, texts):
     assert best[0].doc_id == 2 and best[0].dense_rank > 0
     assert QUERIES["rrf_fusion_latent"](spark, folder).where("question_id = 0 AND rank = 1").first().doc_id == 2
     assert QUERIES["retrieval_eval_overlap_latent"](spark, folder).where("question_id = 1").first().overlap > 0
+
+
+def test_every_vector_has_its_nearest_others(spark, tmp_path):
+    rows = [(i, [math.cos(i), math.sin(i), 0.25 * (i % 3)], 0) for i in range(1, 40)] + [(40, None, 0)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    x = {i: np.array(v, np.float32).astype(float) for i, v, _ in rows if v}
+    expected = {(q, i, r + 1) for q, v in x.items() for r, (_, i) in enumerate(sorted((-round(float(v @ w), 6), i) for i, w in x.items() if i != q)[:10])}
+    assert {(r.query, r.item, r["rank"]) for r in QUERIES["dense_excluding_self"](spark, str(tmp_path)).collect()} == expected
