@@ -1,5 +1,6 @@
 """Dense search by parts of a block, counts per distinct text, one row per drawn item, and a stored search that broadcasts no blocks."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -50,3 +51,21 @@ def test_stored_search_broadcasts_no_blocks(spark, tmp_path):
     assert "strategy=broadcast" not in scores._jdf.queryExecution().optimizedPlan().toString()
     hits = lambda df: {(r.q, r["rank"]): (r.doc_id, round(r.bm25, 5)) for r in df.collect()}
     assert hits(index.search(asked, "q", "question", 5)) == hits(retrieval.bm25_search(docs, asked, "doc_id", "text", "q", "question", 5))
+
+
+def test_only_a_short_pair_draws_again(spark):
+    """Draws by their rule, one at a time; pairs that the first draws serve are read from a table."""
+    draw = random.Random(5)
+    pairs = {(t, i) for t in range(6) for i in draw.sample(range(48), draw.choice([2, 20, 44]))}
+    number = lambda *k: int(hashlib.md5(":".join(map(str, k)).encode()).hexdigest()[:8], 16)
+    held = {}
+    for i in range(48):
+        held.setdefault(number(i) % 6, []).append(i)
+    expected = set()
+    for t, i in pairs:
+        drawn = (held.get(number("0bucket", t, i, d) % 6) for d in range(8))
+        found = dict.fromkeys(b[number("0slot", t, i, d) % len(b)] for d, b in enumerate(drawn) if b)
+        expected |= {(t, i, x, n + 1) for n, x in enumerate([x for x in found if (t, x) not in pairs][:2])}
+    made = negatives.uniform_negatives(spark.createDataFrame(sorted(pairs), "term int, item int"), spark.createDataFrame([(i,) for i in range(48)], "item int"), "term", "item", 2)
+    assert {(r.term, r.positive, r.item, r.place) for r in made.collect()} == expected
+    assert made.inputFiles()
